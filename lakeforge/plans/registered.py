@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeforge.plans import problems
+from lakeforge.plans import derived, problems, read_path
 
-MODULES = (problems,)
+MODULES = (problems, read_path, derived)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
