@@ -21,6 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakeforge.operators.asof import lag_in_blocks
+from lakeforge.session import cut
 
 #: Spellings of types (lower case) and the type each stands for.
 TYPE_SPELLINGS = {
@@ -72,16 +73,17 @@ def same_text(value: Column) -> Column:
 def schema_changes(files: DataFrame, columns: DataFrame, records: DataFrame, key: list[str], least_shared: int = 1) -> DataFrame:
     """file_id, change_kind, old_name, new_name, old_type, new_type: one row for each difference to the file before."""
     declared = columns.where("file_id is not null and column_name is not null").groupBy("file_id", "column_name").agg(F.min_by(plain_type(F.col("dtype")), "ordinal").alias("type"))
-    order = previous_files(files).where("previous_id is not null").select("file_id", "previous_id")
+    # each intermediate is metadata (one row a file or column) used several times: written once, not planned again
+    order = cut(previous_files(files).where("previous_id is not null").select("file_id", "previous_id"))
     now = order.join(declared, "file_id").select("file_id", F.col("column_name").alias("name"), F.col("type").alias("new_type"))
     then = order.join(declared.withColumnRenamed("file_id", "previous_id"), "previous_id").select("file_id", F.col("column_name").alias("name"), F.col("type").alias("old_type"))
-    both = then.join(now, ["file_id", "name"], "full")
+    both = cut(then.join(now, ["file_id", "name"], "full").where("old_type is null or new_type is null or old_type <> new_type"))
     # names and types are few for each file: the differences of a file are gathered by kind
     moved = both.where("old_type is null or new_type is null")
     retyped = both.where("old_type <> new_type").select("file_id", F.lit("retyped").alias("change_kind"), F.col("name").alias("old_name"), F.col("name").alias("new_name"), "old_type", "new_type")
     gone = moved.where("new_type is null").select("file_id", F.col("name").alias("old_name"), "old_type")
     come = moved.where("old_type is null").select("file_id", F.col("name").alias("new_name"), "new_type")
-    pairs = renamed_columns(order, gone, come, records, key, least_shared)
+    pairs = cut(renamed_columns(order, gone, come, records, key, least_shared))
     renamed = pairs.join(gone, ["file_id", "old_name"]).join(come, ["file_id", "new_name"]).select("file_id", F.lit("renamed").alias("change_kind"), "old_name", "new_name", "old_type", "new_type")
     removed = gone.join(pairs, ["file_id", "old_name"], "left_anti").select("file_id", F.lit("removed").alias("change_kind"), "old_name", F.lit("").alias("new_name"), "old_type", F.lit(None).cast("string").alias("new_type"))
     added = come.join(pairs, ["file_id", "new_name"], "left_anti").select("file_id", F.lit("added").alias("change_kind"), F.lit("").alias("old_name"), "new_name", F.lit(None).cast("string").alias("old_type"), "new_type")
