@@ -121,11 +121,11 @@ def symbol_predicate(spark: SparkSession, d: str) -> DataFrame:
 
 
 def pit_as_of(spark: SparkSession, d: str) -> DataFrame:
-    return R.as_known(items(spark, d), ITEM_KEY, "2021-06-30").select("symbol", "report_period", "statement_type", "item_code", F.round("item_value", 4).alias("item_value"), "announce_date")
+    return R.as_known(items(spark, d), ITEM_KEY, "2021-06-30").select("symbol", "report_period", "statement_type", "item_code", "item_value", "announce_date")
 
 
 def pit_all_vintages(spark: SparkSession, d: str) -> DataFrame:
-    return R.as_known(items(spark, d), ITEM_KEY, "2021-06-30", all_vintages=True).select(*ITEM_KEY, F.round("item_value", 4).alias("item_value"))
+    return R.as_known(items(spark, d), ITEM_KEY, "2021-06-30", all_vintages=True).select(*ITEM_KEY, "item_value")
 
 
 def pit_quarter_range(spark: SparkSession, d: str) -> DataFrame:
@@ -134,7 +134,7 @@ def pit_quarter_range(spark: SparkSession, d: str) -> DataFrame:
 
 
 def pit_items(spark: SparkSession, d: str) -> DataFrame:
-    return R.as_known(items(spark, d), ITEM_KEY, "2022-12-31", items=["revenue"]).select("symbol", "report_period", "item_code", F.round("item_value", 4).alias("item_value"))
+    return R.as_known(items(spark, d), ITEM_KEY, "2022-12-31", items=["revenue"]).select("symbol", "report_period", "item_code", "item_value")
 
 
 def pit_revision_size(spark: SparkSession, d: str) -> DataFrame:
@@ -142,7 +142,7 @@ def pit_revision_size(spark: SparkSession, d: str) -> DataFrame:
     seen = items(spark, d).where("announce_date >= date'2001-01-01' and item_value is not null").groupBy(*fact).agg(
         F.count(F.lit(1)).alias("vintages"), F.min_by("item_value", "announce_date").alias("first_value"), F.max_by("item_value", "announce_date").alias("last_value")
     )
-    return seen.where("vintages > 1").select(*fact, "vintages", F.round(F.col("last_value") - F.col("first_value"), 3).alias("revision"))
+    return seen.where("vintages > 1").select(*fact, "vintages", (F.col("last_value") - F.col("first_value")).alias("revision"))
 
 
 def asof_factor_steps(spark: SparkSession, d: str) -> DataFrame:
@@ -201,12 +201,12 @@ def oracle_sql() -> dict[str, str]:
         "universe_strict_missing": with_parts(f"select symbol, count(*) as missing from ({kept}) k where not exists (select 1 from trading_status s where s.symbol = k.symbol and s.trade_date = k.trade_date) group by 1", bars=BARS, instruments=INSTRUMENTS),
         "tradable_on_date": with_parts(f"select trade_date, count(*) as tradable from ({STATUS}) s join instruments using (symbol) where not {_BAD} and {_ALL_A} and {_LISTED} group by 1", instruments=INSTRUMENTS),
         "symbol_predicate": f"select distinct symbol, not {_OUT} and {_STOCK} as all_a, {_ALL_A} as in_test from daily_bars",
-        "pit_as_of": with_parts(f"select symbol, report_period, statement_type, item_code, round(item_value, 4) as item_value, announce_date from ({_KNOWN.format('2021-06-30', '')})", items=ITEMS),
-        "pit_all_vintages": with_parts("select symbol, report_period, statement_type, item_code, announce_date, round(item_value, 4) as item_value from items where announce_date <= date '2021-06-30'", items=ITEMS),
+        "pit_as_of": with_parts(f"select symbol, report_period, statement_type, item_code, item_value, announce_date from ({_KNOWN.format('2021-06-30', '')})", items=ITEMS),
+        "pit_all_vintages": with_parts("select symbol, report_period, statement_type, item_code, announce_date, item_value from items where announce_date <= date '2021-06-30'", items=ITEMS),
         "pit_quarter_range": with_parts(f"select symbol, report_period, item_code, announce_date from ({_KNOWN.format('2023-12-31', '')}) where report_period between '2018Q2' and '2020Q4'", items=ITEMS),
-        "pit_items": with_parts(f"select symbol, report_period, item_code, round(item_value, 4) as item_value from ({_KNOWN.format('2022-12-31', REVENUE)})", items=ITEMS),
+        "pit_items": with_parts(f"select symbol, report_period, item_code, item_value from ({_KNOWN.format('2022-12-31', REVENUE)})", items=ITEMS),
         "pit_revision_size": with_parts(
-            "select symbol, report_period, statement_type, item_code, count(*) as vintages, round(arg_max(item_value, announce_date) - arg_min(item_value, announce_date), 3) as revision from items where announce_date >= date '2001-01-01' and item_value is not null group by all having count(*) > 1",
+            "select symbol, report_period, statement_type, item_code, count(*) as vintages, arg_max(item_value, announce_date) - arg_min(item_value, announce_date) as revision from items where announce_date >= date '2001-01-01' and item_value is not null group by all having count(*) > 1",
             items=ITEMS,
         ),
         "asof_factor_steps": with_parts("select b.symbol, b.trade_date, round(coalesce(s.factor, 1.0), 6) as factor from (select distinct symbol, trade_date from daily_bars) b asof left join steps s on b.symbol = s.symbol and b.trade_date >= s.trade_date", steps=STEPS),

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeforge.plans import derived, problems, read_path
+from lakeforge.plans import derived, problems, quality, read_path, storage
 
-MODULES = (problems, read_path, derived)
+MODULES = (problems, read_path, derived, quality, storage)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -82,7 +82,7 @@ def nonfinite(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.where(any_of([F.isnan(c) | (F.abs(F.col(c)) == float("inf")) for c in columns]))
 
 
-def bar_violations(df: DataFrame) -> Column:
+def bar_violations() -> Column:
     """Prices not positive, negative volume or amount, or (in traded bars) prices outside low..high."""
     prices = [F.col(c) for c in ("open", "high", "low", "close")]
     live = F.col("volume").isNull() | (F.col("volume") > 0)
