@@ -112,3 +112,69 @@ def renamed_columns(order: DataFrame, gone: DataFrame, come: DataFrame, records:
     best = lambda side: W.partitionBy("file_id", side).orderBy(F.col("same").desc(), "old_name", "new_name")
     good = good.withColumn("a", F.row_number().over(best("old_name"))).withColumn("b", F.row_number().over(best("new_name")))
     return good.where("a = 1 and b = 1").select("file_id", "old_name", "new_name")
+
+
+def widest_of(types: Column) -> Column:
+    """``widest`` of an array of plain types, as a column."""
+    has = lambda *ts: F.exists(types, lambda t: t.isin(*ts))
+    other = F.exists(types, lambda t: ~t.isin("boolean", "bigint", "double", "date", "timestamp"))
+    number, day = has("boolean", "bigint", "double"), has("date", "timestamp")
+    return (
+        F.when(other | (number & day), "string").when(has("double"), "double").when(has("bigint"), "bigint").when(has("boolean"), "boolean").when(has("timestamp"), "timestamp").otherwise("date")
+    )
+
+
+def column_names(columns: DataFrame, renames: DataFrame, preferred: list[str], most_names: int = 100_000) -> DataFrame:
+    """column_name and the one name (canonical) of all names that renames or another spelling (case, underscores) connect,
+    in whatever feed: a preferred one, else the least.
+
+    Works on the vocabulary of names, which does not grow with files or records; its size is checked."""
+    plain = F.lower(F.replace("old_name", F.lit("_"), F.lit("")))
+    names = columns.where("column_name is not null").select(F.col("column_name").alias("old_name")).distinct()
+    if names.count() > most_names:
+        raise ValueError("too many column names")
+    spelled = names.withColumn("new_name", F.min("old_name").over(W.partitionBy(plain)))
+    edges = spelled.unionByName(renames.select("old_name", "new_name")).distinct()
+
+    def components(pdf):
+        import pandas as pd
+
+        root: dict[str, str] = {}
+
+        def find(x: str) -> str:
+            while root.setdefault(x, x) != x:
+                x = root[x] = root[root[x]]
+            return x
+
+        for a, b in zip(pdf.old_name, pdf.new_name):
+            root[find(a)] = find(b)
+        groups: dict[str, list[str]] = {}
+        for x in sorted(root):
+            groups.setdefault(find(x), []).append(x)
+        rows = [(x, next((p for p in preferred if p in g), g[0])) for g in groups.values() for x in g]
+        return pd.DataFrame({"column_name": [r[0] for r in rows], "canonical": [r[1] for r in rows]})
+
+    return edges.groupBy(F.lit("all")).applyInPandas(components, "column_name string, canonical string")
+
+
+def union_schema(columns: DataFrame, names: DataFrame) -> DataFrame:
+    """canonical, dtype and the number of files of each column: the declared types folded through the lattice."""
+    typed = columns.where("column_name is not null").select("file_id", "column_name", plain_type(F.col("dtype")).alias("type")).join(names, "column_name")
+    return typed.groupBy("canonical").agg(widest_of(F.collect_set("type")).alias("dtype"), F.countDistinct("file_id").alias("n_files"))
+
+
+def union_table(files: DataFrame, records: DataFrame, names: DataFrame, schema: list[tuple[str, str]], key: list[str], most_columns: int = 5000) -> DataFrame:
+    """Every record of a feed once (the latest delivery wins), with all columns of the union schema, cast without failing."""
+    if len(schema) > most_columns:
+        raise ValueError("too many columns for one table")
+    feeds = files.select("file_id", "feed", "delivered_at").where("file_id is not null").dropDuplicates(["file_id"])
+    renamed = names.agg(F.map_from_entries(F.collect_list(F.struct("column_name", "canonical"))).alias("names"))
+    r = records.select("file_id", "row_no", F.from_json("payload", "map<string,string>").alias("values")).where("values is not null").join(feeds, "file_id").join(F.broadcast(renamed))
+    entries = F.transform(F.map_entries("values"), lambda e: F.struct(F.coalesce(F.col("names")[e["key"]], e["key"]).alias("key"), e["value"].alias("value")))
+    # two names of one record may stand for one column: the first given value counts
+    r = r.withColumn("e", F.filter(entries, lambda e: e["value"].isNotNull()))
+    cell = lambda n: F.filter("e", lambda x: x["key"] == n)
+    r = r.select("feed", "delivered_at", "file_id", "row_no", *(F.when(F.size(cell(n)) > 0, cell(n)[0]["value"]).try_cast(t).alias(n) for n, t in schema))
+    rest = [n for n, _ in schema if n not in key]
+    best = r.groupBy("feed", *key).agg(F.max(F.struct("delivered_at", "file_id", "row_no", *rest)).alias("b"))
+    return best.select("feed", *key, *(F.col("b")[n].alias(n) for n in rest))

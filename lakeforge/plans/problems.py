@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from lakeforge.functions.columns import canonical_symbol, iso_date
 from lakeforge.operators.attributes import fact_history, known_attributes, membership_history, unpivot_known
-from lakeforge.operators.compaction import compact
-from lakeforge.operators.drift import schema_changes
+from lakeforge.operators.compaction import compact, packed_files
+from lakeforge.operators.drift import column_names, schema_changes, union_schema, union_table
 from lakeforge.operators.fusion import best_rows, claims, field_sources, fused_values
 from lakeforge.operators.history import snapshot_readings, versions
 from lakeforge.operators.reconcile import current_rows, differences
 from lakeforge.operators.spikes import implausible
+from lakeforge.registry import dataset
+from lakeforge.session import cut
 
 PRICES = ["open", "high", "low", "close", "volume", "amount"]
 
@@ -28,11 +30,45 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return units.where("files_before >= 2").select("symbol", iso_date("trade_date").alias("trade_date"), "files_before", "partitions_before", "rows_after")
 
 
+def p1_packed(spark: SparkSession, folder: str) -> DataFrame:
+    """The compacted files: by month, file number, sessions, rows and bytes."""
+    ticks = table(spark, folder, "trade_ticks").select("symbol", "trade_date", "tick_seq", "fetched_at", "file_id")
+    units, _, _ = compact(ticks, table(spark, folder, "lake_files"), ["symbol", "trade_date"], ["tick_seq"])
+    files = packed_files(units, F.date_format("trade_date", "yyyy-MM"), ["symbol", "trade_date"])
+    return files.groupBy("period", "file_no").agg(F.count(F.lit(1)).alias("sessions"), F.sum("rows_after").alias("n_rows"), F.sum("bytes_merged").alias("n_bytes"), F.sum("files_before").alias("files_before"))
+
+
+def p1_journal(spark: SparkSession, folder: str) -> DataFrame:
+    """The transaction journal: every merge with its level, output, number of inputs, rows and bytes."""
+    ticks = table(spark, folder, "trade_ticks").select("symbol", "trade_date", "tick_seq", "fetched_at", "file_id")
+    _, journal, _ = compact(ticks, table(spark, folder, "lake_files"), ["symbol", "trade_date"], ["tick_seq"])
+    return journal.select("symbol", iso_date("trade_date").alias("trade_date"), "level", "run_id", F.size("inputs").alias("inputs"), "n_files", "n_rows", "n_bytes")
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     changes = schema_changes(*(table(spark, folder, t) for t in ("vendor_files", "vendor_columns", "vendor_records")), ["symbol", "trade_date"])
     return changes.select("file_id", "change_kind", "old_name", "new_name")
 
 
+def _p2_names(spark: SparkSession, folder: str) -> DataFrame:
+    files, columns, records = (table(spark, folder, t) for t in ("vendor_files", "vendor_columns", "vendor_records"))
+    renames = schema_changes(files, columns, records, ["symbol", "trade_date"]).where("change_kind = 'renamed'").select("file_id", "old_name", "new_name")
+    return cut(column_names(columns, renames, dataset("daily_bars").schema.names))
+
+
+def p2_schema(spark: SparkSession, folder: str) -> DataFrame:
+    """The union schema of all deliveries."""
+    return union_schema(table(spark, folder, "vendor_columns"), _p2_names(spark, folder))
+
+
+def p2_table(spark: SparkSession, folder: str) -> DataFrame:
+    """All records of all deliveries in the union schema, each once for its feed."""
+    names = _p2_names(spark, folder)
+    schema = union_schema(table(spark, folder, "vendor_columns"), names)
+    cells = [(r.canonical, r.dtype) for r in schema.orderBy("canonical").limit(5001).toLocalIterator()]
+    return union_table(table(spark, folder, "vendor_files"), table(spark, folder, "vendor_records"), names, cells, ["symbol", "trade_date"])
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     bars = implausible(table(spark, folder, "daily_bars"), "close", "volume").withColumn("table_name", F.lit("daily_bars"))
     factors = implausible(table(spark, folder, "adj_factors"), "factor", exact_sources=True).withColumn("table_name", F.lit("adj_factors"))
@@ -78,7 +114,7 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p4_found, p5_found, p6_found, p6_fused, p7_found)}
+    return {f.__name__: f for f in (p1_found, p1_packed, p1_journal, p2_found, p2_schema, p2_table, p3_found, p4_found, p5_found, p6_found, p6_fused, p7_found)}
 
 
 _RANKED = """coalesce(try_cast(nullif(regexp_extract(data_version, '([0-9]{1,9})', 1), '') as bigint), -1) desc, coalesce(data_version, '') desc,
