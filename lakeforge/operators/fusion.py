@@ -67,39 +67,50 @@ def fused_values(stated: DataFrame, item: list[str], rounds: int = 3, prior_copy
     sources = [r.source for r in stated.select("source").distinct().orderBy("source").limit(max_sources + 1).toLocalIterator()]
     if len(sources) > max_sources:
         raise ValueError("too many sources for a table of source pairs")
-    spark = stated.sparkSession
     accuracy = {s: 0.8 for s in sources}
-    weight = {s: 1.0 for s in sources}
+    # before any value is believed, dependence shows only in sources that agree more often than their accuracy explains
+    weight = _weights(_shared(stated.withColumn("right", F.lit(None).cast("boolean")), item), accuracy, prior_copy, false_values)
     chosen = _posterior(stated, item, accuracy, weight, false_values)
     for _ in range(rounds):
         truth = chosen.select(*item, F.col("value").alias("true_value"))
         judged = stated.join(truth, item).withColumn("right", F.col("value") == F.col("true_value"))
         stats = {r.source: r for r in judged.groupBy("source").agg(F.avg(F.col("right").cast("int")).alias("a"), F.count(F.lit(1)).alias("n")).toLocalIterator()}
         accuracy = {s: min(0.99, max(0.05, (stats[s].a * stats[s].n + 0.8) / (stats[s].n + 1))) if s in stats else 0.8 for s in sources}
-        # votes of an item, at most one a source, are paired inside the item
-        votes = judged.groupBy(*item).agg(F.array_sort(F.collect_list(F.struct("source", "value", "right"))).alias("v"))
-        pair = votes.select(F.explode("v").alias("x"), "v").select("x", F.explode(F.filter("v", lambda y: y["source"] > F.col("x.source"))).alias("y"))
-        shared = pair.groupBy(F.col("x.source").alias("s1"), F.col("y.source").alias("s2")).agg(
-            F.count_if(F.col("x.right") & F.col("y.right")).alias("kt"), F.count_if((F.col("x.value") == F.col("y.value")) & ~F.col("x.right")).alias("kf"), F.count_if(F.col("x.value") != F.col("y.value")).alias("kd")
-        )
-        copies = {s: 1.0 for s in sources}
-        for r in shared.toLocalIterator():  # one row for each pair of sources, bounded above
-            p = _dependence(r.kt, r.kf, r.kd, accuracy[r.s1], accuracy[r.s2], prior_copy, false_values)
-            copies[r.s1 if accuracy[r.s1] <= accuracy[r.s2] else r.s2] *= 1 - 0.8 * p
-        weight = copies
+        weight = _weights(_shared(judged, item), accuracy, prior_copy, false_values)
         chosen = _posterior(stated, item, accuracy, weight, false_values)
     return chosen
 
 
-def _dependence(kt: int, kf: int, kd: int, a1: float, a2: float, prior: float, n: int, copied: float = 0.8) -> float:
+def _shared(judged: DataFrame, item: list[str]) -> DataFrame:
+    """For each pair of sources: items on which they share a true, a false, an unjudged value, or differ.
+
+    Votes, at most one a source, are paired inside the item; sources are few, so an item's pairs are."""
+    votes = judged.groupBy(*item).agg(F.array_sort(F.collect_list(F.struct("source", "value", "right"))).alias("v"))
+    pair = votes.select(F.explode("v").alias("x"), "v").select("x", F.explode(F.filter("v", lambda y: y["source"] > F.col("x.source"))).alias("y"))
+    same = F.col("x.value") == F.col("y.value")
+    return pair.groupBy(F.col("x.source").alias("s1"), F.col("y.source").alias("s2")).agg(
+        F.count_if(same & F.col("x.right")).alias("kt"), F.count_if(same & ~F.col("x.right")).alias("kf"), F.count_if(same & F.col("x.right").isNull()).alias("ku"), F.count_if(~same).alias("kd")
+    )
+
+
+def _weights(shared: DataFrame, accuracy: dict[str, float], prior: float, n: int) -> dict[str, float]:
+    """The share of each source's vote that is its own; of a dependent pair the less accurate one is taken for the copy."""
+    weight = dict.fromkeys(accuracy, 1.0)
+    for r in sorted(shared.toLocalIterator(), key=lambda r: (r.s1, r.s2)):  # one row for each pair of sources, bounded above
+        p = _dependence(r.kt, r.kf, r.ku, r.kd, accuracy[r.s1], accuracy[r.s2], prior, n)
+        weight[r.s1 if accuracy[r.s1] <= accuracy[r.s2] else r.s2] *= 1 - 0.8 * p
+    return weight
+
+
+def _dependence(kt: int, kf: int, ku: int, kd: int, a1: float, a2: float, prior: float, n: int, copied: float = 0.8) -> float:
     """Posterior probability that one of two sources copies the other, from shared true, shared false and different values."""
     from math import exp, log
 
     pt, pf = a1 * a2, (1 - a1) * (1 - a2) / n
     pd = max(1e-9, 1 - pt - pf)
     a = (a1 + a2) / 2
-    alone = kt * log(pt) + kf * log(max(pf, 1e-12)) + kd * log(pd)
-    bound = kt * log(a * copied + pt * (1 - copied)) + kf * log((1 - a) * copied + pf * (1 - copied) + 1e-12) + kd * log(pd * (1 - copied))
+    alone = kt * log(pt) + kf * log(max(pf, 1e-12)) + ku * log(pt + pf) + kd * log(pd)
+    bound = kt * log(a * copied + pt * (1 - copied)) + kf * log((1 - a) * copied + pf * (1 - copied) + 1e-12) + ku * log(copied + (pt + pf) * (1 - copied)) + kd * log(pd * (1 - copied))
     x = log((1 - prior) / prior) + alone - bound
     return 1 / (1 + exp(min(700, max(-700, x))))
 
