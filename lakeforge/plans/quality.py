@@ -90,7 +90,7 @@ def required_nulls(spark: SparkSession, d: str) -> DataFrame:
 
 
 def nonfinite(spark: SparkSession, d: str) -> DataFrame:
-    with_bad = table(spark, d, "daily_bars").withColumn("turnover", F.when(F.col("volume") == 0, F.lit(float("nan"))).otherwise(F.col("amount") / F.col("volume")))
+    with_bad = table(spark, d, "daily_bars").withColumn("turnover", F.when(F.col("volume") == 0, F.lit(float("nan"))).otherwise(F.try_divide("amount", "volume")))
     return Q.nonfinite(with_bad, ["close", "turnover"]).groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
 
 

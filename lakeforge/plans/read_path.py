@@ -44,7 +44,7 @@ def instruments(spark: SparkSession, d: str) -> DataFrame:
 def factor_steps(spark: SparkSession, d: str) -> DataFrame:
     f = factors(spark, d).where("factor is not null and adjust_type = 'hfq'")
     f = f.withColumn("before", F.lag("factor").over(W.partitionBy("symbol").orderBy("trade_date")))
-    return f.where("before is null or abs(factor / before - 1) > 0.02").select("symbol", "trade_date", "factor")
+    return f.where("before is null or abs(factor - before) > 0.02 * abs(before)").select("symbol", "trade_date", "factor")
 
 
 def calendar(spark: SparkSession, d: str) -> DataFrame:

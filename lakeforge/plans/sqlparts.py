@@ -22,7 +22,7 @@ TICKS = canonical_sql("(select * exclude (file_id) from trade_ticks)", ["symbol"
 INSTRUMENTS = """select symbol, 'NAME ' || substr(symbol, 1, 6) as name, split_part(symbol, '.', 2) as exchange, min(trade_date) as list_date,
   case when cast(substr(symbol, 1, 6) as int) % 5 = 0 then max(trade_date) - 30 end as delist_date from daily_bars group by symbol"""
 STEPS = f"""select symbol, trade_date, factor from (select symbol, trade_date, factor, lag(factor) over (partition by symbol order by trade_date) as before from ({FACTORS}) where factor is not null and adjust_type = 'hfq')
-  where before is null or abs(factor / before - 1) > 0.02"""
+  where before is null or abs(factor - before) > 0.02 * abs(before)"""
 CALENDAR = "select distinct trade_date from daily_bars where volume > 0 or volume is null"
 
 

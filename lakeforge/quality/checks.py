@@ -141,7 +141,7 @@ def direction_mix(ticks: DataFrame) -> DataFrame:
 def session_ratio(inner: DataFrame, daily: DataFrame) -> DataFrame:
     """Per (symbol, trade_date): intraday volume over the daily bar's."""
     i = inner.groupBy("symbol", "trade_date").agg(F.coalesce(F.sum("volume"), F.lit(0)).alias("inner_volume"))
-    return i.join(daily.where("volume > 0").select("symbol", "trade_date", "volume"), ["symbol", "trade_date"]).withColumn("ratio", F.col("inner_volume") / F.col("volume"))
+    return i.join(daily.where("volume > 0").select("symbol", "trade_date", "volume"), ["symbol", "trade_date"]).withColumn("ratio", F.try_divide("inner_volume", "volume"))
 
 
 # --- units
@@ -149,7 +149,7 @@ def session_ratio(inner: DataFrame, daily: DataFrame) -> DataFrame:
 
 def unit_ratios(bars: DataFrame, least: int = 20) -> DataFrame:
     """Per source and version: the median of amount / (volume * close); 1 where volume is in shares, 100 in lots."""
-    r = bars.where("volume > 0 and close > 0 and amount > 0").withColumn("ratio", F.col("amount") / (F.col("volume") * F.col("close")))
+    r = bars.where("volume > 0 and close > 0 and amount > 0").withColumn("ratio", F.try_divide("amount", F.col("volume") * F.col("close")))
     return r.groupBy("source", "data_version").agg(F.count(F.lit(1)).alias("n"), F.median("ratio").alias("ratio")).where(F.col("n") >= least)
 
 
@@ -207,7 +207,7 @@ def key_coverage(primary: DataFrame, backup: DataFrame, key: list[str]) -> DataF
 def field_drift(primary: DataFrame, backup: DataFrame, key: list[str], fields: list[str], bps: float = 10.0) -> DataFrame:
     """key, field_name, kind: null on one side, or farther apart than ``bps`` of the backup's value."""
     both = primary.select(*key, F.struct(*fields).alias("p")).join(backup.select(*key, F.struct(*fields).alias("b")), key)
-    gap = lambda f: F.when(F.col("b")[f] == 0, F.when(F.col("p")[f] != 0, F.lit(float("inf"))).otherwise(0.0)).otherwise(F.abs(F.col("p")[f] - F.col("b")[f]) / F.abs(F.col("b")[f]) * 1e4)
+    gap = lambda f: F.when(F.col("b")[f] == 0, F.when(F.col("p")[f] != 0, F.lit(float("inf"))).otherwise(0.0)).otherwise(F.try_divide(F.abs(F.col("p")[f] - F.col("b")[f]), F.abs(F.col("b")[f])) * 1e4)
     kind = lambda f: F.when(F.col("p")[f].isNull() != F.col("b")[f].isNull(), "field_null_mismatch").when(gap(f) > bps, "field_drift")
     each = F.array(*(F.struct(F.lit(f).alias("field_name"), kind(f).alias("kind")) for f in fields))
     return both.select(*key, F.explode(each).alias("x")).where("x.kind is not null").select(*key, "x.field_name", "x.kind")
