@@ -143,7 +143,8 @@ def column_names(columns: DataFrame, renames: DataFrame, preferred: list[str], m
 
         def find(x: str) -> str:
             while root.setdefault(x, x) != x:
-                x = root[x] = root[root[x]]
+                root[x] = root[root[x]]
+                x = root[x]
             return x
 
         for a, b in zip(pdf.old_name, pdf.new_name):

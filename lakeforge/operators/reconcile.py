@@ -29,7 +29,7 @@ def eight_digits(c: Column) -> Column:
     """The value rounded to eight significant digits; NaN for a null, which a hash would skip."""
     v = c.cast("double")
     scale = F.pow(F.lit(10.0), F.lit(7) - F.floor(F.log10(F.abs(v))))
-    return F.when(v.isNull(), F.lit(float("nan"))).when(v == 0, F.lit(0.0)).when(F.abs(v) == float("inf"), v).otherwise(F.round(v * scale) / scale)
+    return F.when(v.isNull(), F.lit(float("nan"))).when(v == 0, F.lit(0.0)).when((F.abs(v) == float("inf")) | (F.abs(v) < 1e-290), v).otherwise(F.rint(v * scale) / scale)
 
 
 def current_rows(df: DataFrame, key: list[str], values: list[str], latest: str = "fetched_at") -> DataFrame:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,11 +37,30 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local["):
         raise RuntimeError("a cluster needs spark.checkpoint.dir: a folder that all executors share")
-    return "file://" + os.path.join(tempfile.gettempdir(), "lakeforge-shared")
+    return "file://" + _local_folder()
+
+
+@lru_cache(maxsize=1)
+def _local_folder() -> str:
+    """One folder for each process of a single machine; gone when it ends."""
+    path = tempfile.mkdtemp(prefix="lakeforge-")
+    atexit.register(shutil.rmtree, path, True)
+    return path
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Writes the frame to the shared folder and reads it back: a short lineage that survives lost executors."""
-    path = f"{shared_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/cut-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_cuts(spark: SparkSession) -> int:
+    """Deletes the tables that ``cut`` wrote for this application; to be called when its results are written."""
+    from lakeforge.sources.files import delete, entries
+
+    own = [e for e in entries(spark, shared_folder(spark)) if e.name.startswith(f"cut-{spark.sparkContext.applicationId}-")]
+    for e in own:
+        delete(spark, e.path)
+    return len(own)

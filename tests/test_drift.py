@@ -84,3 +84,9 @@ def test_union_table_holds_each_record_once(spark):
     schema = [(x.canonical, x.dtype) for x in union_schema(c, names).orderBy("canonical").toLocalIterator()]
     assert ("close", "string") in schema and ("px", "string") not in schema
     assert rows(union_table(f, r, names, schema, KEY), "symbol", "close") == [("A.SH", "1.5"), ("A.SH", "2.5"), ("A.SH", "3.5")]
+
+
+def test_chains_of_names_meet_in_one(spark):
+    c = spark.createDataFrame([(1, i, n, "double") for i, n in enumerate(("Close", "close", "last", "px_last", "shoupan", "closing_price", "vwap"))], COLUMNS)
+    r = spark.createDataFrame([("Close", "last"), ("last", "px_last"), ("closing_price", "shoupan"), ("close", "closing_price"), ("px_last", "close")], "old_name string, new_name string")
+    assert {x.canonical for x in column_names(c, r, ["close"]).toLocalIterator()} == {"close", "vwap"}
