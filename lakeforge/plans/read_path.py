@@ -81,18 +81,18 @@ def traded_only(spark: SparkSession, d: str) -> DataFrame:
 
 def adjust_hfq(spark: SparkSession, d: str) -> DataFrame:
     a = R.adjusted(bars(spark, d), factors(spark, d))
-    return a.select("symbol", "trade_date", "close", F.round("adj_close", 6).alias("adj_close"), "adj_is_exact")
+    return a.select("symbol", "trade_date", "close", "adj_close", "adj_is_exact")
 
 
 def adjust_qfq_window(spark: SparkSession, d: str) -> DataFrame:
     window = R.date_range(bars(spark, d), "trade_date", "2018-01-01", "2022-12-31")
     a = R.adjusted(window, R.date_range(factors(spark, d), "trade_date", "2018-01-01", "2022-12-31"), "qfq")
-    return a.select("symbol", "trade_date", F.round("adj_close", 6).alias("adj_close"), "adj_is_exact")
+    return a.select("symbol", "trade_date", "adj_close", "adj_is_exact")
 
 
 def adjust_view_global_anchor(spark: SparkSession, d: str) -> DataFrame:
-    h = R.adjusted(bars(spark, d), factors(spark, d)).select("symbol", "trade_date", F.round("adj_close", 6).alias("hfq_close"))
-    q = R.adjusted(bars(spark, d), factors(spark, d), "qfq", "global").select("symbol", "trade_date", F.round("adj_close", 6).alias("qfq_close"), "adj_is_exact")
+    h = R.adjusted(bars(spark, d), factors(spark, d)).select("symbol", "trade_date", F.col("adj_close").alias("hfq_close"))
+    q = R.adjusted(bars(spark, d), factors(spark, d), "qfq", "global").select("symbol", "trade_date", F.col("adj_close").alias("qfq_close"), "adj_is_exact")
     return h.join(q, ["symbol", "trade_date"])
 
 
@@ -185,15 +185,15 @@ def oracle_sql() -> dict[str, str]:
         "canonical_dedupe": f"select symbol, trade_date, round(close, 6) as close, volume, source, data_version, cast(floor(epoch(fetched_at)) as bigint) as fetched_epoch from ({BARS})",
         "schema_try_cast": "select file_id, row_no, payload ->> '$.symbol' as symbol, try_cast(payload ->> '$.trade_date' as date) as trade_date, try_cast(payload ->> '$.open' as double) as open, case when regexp_matches(payload ->> '$.symbol', '^[0-9]+$') then try_cast(payload ->> '$.symbol' as bigint) end as not_a_number from vendor_records",
         "traded_only": f"select symbol, count(*) as n, min(trade_date) as first_date, max(trade_date) as last_date from ({BARS}) where volume > 0 or volume is null group by symbol",
-        "adjust_hfq": with_parts(f"select symbol, trade_date, close, round(close * coalesce(factor, 1), 6) as adj_close, factor is not null as adj_is_exact from {hfq}", bars=BARS),
+        "adjust_hfq": with_parts(f"select symbol, trade_date, close, close * coalesce(factor, 1) as adj_close, factor is not null as adj_is_exact from {hfq}", bars=BARS),
         "adjust_qfq_window": with_parts(
-            "select symbol, trade_date, round(close * coalesce(factor / nullif(anchor, 0), 1), 6) as adj_close, factor / nullif(anchor, 0) is not null as adj_is_exact from bars left join f using (symbol, trade_date) left join anchors using (symbol)",
+            "select symbol, trade_date, close * coalesce(factor / nullif(anchor, 0), 1) as adj_close, factor / nullif(anchor, 0) is not null as adj_is_exact from bars left join f using (symbol, trade_date) left join anchors using (symbol)",
             bars=f"select * from ({BARS}) where trade_date between date '2018-01-01' and date '2022-12-31'",
             f=f"select symbol, trade_date, factor from ({FACTORS}) where adjust_type = 'hfq' and trade_date between date '2018-01-01' and date '2022-12-31'",
             anchors="select symbol, arg_max_null(factor, trade_date) as anchor from f join (select symbol, max(trade_date) as last from bars group by 1) using (symbol) where trade_date <= last group by 1",
         ),
         "adjust_view_global_anchor": with_parts(
-            "select symbol, trade_date, round(close * coalesce(factor, 1), 6) as hfq_close, round(close * coalesce(factor / nullif(anchor, 0), 1), 6) as qfq_close, factor / nullif(anchor, 0) is not null as adj_is_exact from bars left join f using (symbol, trade_date) left join anchors using (symbol)",
+            "select symbol, trade_date, close * coalesce(factor, 1) as hfq_close, close * coalesce(factor / nullif(anchor, 0), 1) as qfq_close, factor / nullif(anchor, 0) is not null as adj_is_exact from bars left join f using (symbol, trade_date) left join anchors using (symbol)",
             bars=BARS, f=f"select symbol, trade_date, factor from ({FACTORS}) where adjust_type = 'hfq'", anchors="select symbol, arg_max_null(factor, trade_date) as anchor from f group by 1",
         ),
         "adjust_missing_exact_flag": with_parts(f"select symbol, count(*) filter (factor is not null) as exact, count(*) filter (factor is null) as inexact from {hfq} group by 1", bars=BARS),
