@@ -166,10 +166,16 @@ class Lake:
             return None
 
     def _swap(self, new_of: dict[str, str]) -> None:
+        """Old data steps aside before the new takes its place and is deleted last, so a crash loses neither.  Names that
+        begin with an underscore are invisible to scans."""
         for target, new in new_of.items():
-            if files.exists(self.spark, target):
-                files.delete(self.spark, target)
+            parent, _, name = target.rpartition("/")
+            old = f"{parent}/_old-{name}-{uuid.uuid4().hex[:8]}"
+            if had := files.exists(self.spark, target):
+                files.move(self.spark, target, old)
             files.move(self.spark, new, target)
+            if had:
+                files.delete(self.spark, old)
 
     def repartition(self, name: str, dry_run: bool = False) -> dict[str, int]:
         """Rewrites a dataset to its configured periods: each key once, counts checked before the swap."""

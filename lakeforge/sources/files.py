@@ -65,3 +65,43 @@ def paths_in_range(spark: SparkSession, root: str, column: str | None, start: da
         return [root] if entries(spark, root) else []
     loose = [e.path for e in entries(spark, root) if not e.is_dir and e.name.endswith(".parquet")]
     return [path for p, path in list_partitions(spark, root, column) if p.overlaps(start, end)] + loose
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Written aside and renamed, so a reader sees the old text or the new."""
+    fs, p = _fs(spark, path)
+    _, part = _fs(spark, path + ".part")
+    stream = fs.create(part, True)
+    try:
+        stream.write(text.encode("utf-8"))
+    finally:
+        stream.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    if not fs.rename(part, p):
+        raise OSError(f"{path} could not be written")
+
+
+def create_new(spark: SparkSession, path: str) -> bool:
+    """Creates an empty file unless it is there; whether it was created."""
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p.getParent())
+    return fs.createNewFile(p)
+
+
+def age_seconds(spark: SparkSession, path: str) -> float | None:
+    import time
+
+    fs, p = _fs(spark, path)
+    return time.time() - fs.getFileStatus(p).getModificationTime() / 1000 if fs.exists(p) else None
