@@ -173,11 +173,36 @@ def fill_ratio(spark: SparkSession, d: str) -> DataFrame:
     return Q.fill_ratio(table(spark, d, "financial_statement_items"), "symbol", "item_value")
 
 
+def close_crosscheck(spark: SparkSession, d: str) -> DataFrame:
+    return Q.close_crosscheck(R.traded(bars(spark, d)), _mirror(spark, d))
+
+
+def label_differences(spark: SparkSession, d: str) -> DataFrame:
+    """Days labelled suspended by a status against days without volume in the bars, where both tables have the day."""
+    s = table(spark, d, "trading_status").where("symbol is not null and trade_date is not null")
+    b = table(spark, d, "daily_bars").join(s.select("symbol", "trade_date").distinct(), ["symbol", "trade_date"], "left_semi")
+    said = s.where(F.lower(F.trim("status")) == "suspended").join(table(spark, d, "daily_bars").select("symbol", "trade_date").distinct(), ["symbol", "trade_date"], "left_semi")
+    return Q.label_differences(said, b.where("volume = 0"), ["symbol", "trade_date"])
+
+
+def delisted_coverage(spark: SparkSession, d: str) -> DataFrame:
+    code = F.substring("symbol", 1, 6).cast("int")
+    terminal = table(spark, d, "daily_bars").where(code % 3 == 0).groupBy("symbol").agg(F.max("trade_date").alias("t")).select("symbol", F.when(code % 2 == 0, F.col("t")).otherwise(F.date_sub("t", 31)).alias("terminal"))
+    return Q.delisted_coverage(terminal, R.traded(bars(spark, d)), instruments(spark, d).where(code % 9 != 0), F.lit("2024-12-31").cast("date")).select("symbol", "state")
+
+
+def receipt_coverage(spark: SparkSession, d: str) -> DataFrame:
+    receipts = table(spark, d, "trading_status").where("symbol is not null").groupBy(F.col("source").alias("receipt_id"), "symbol").agg(F.min("trade_date").alias("start_date"), F.max("trade_date").alias("end_date"))
+    wide = receipts.withColumn("start_date", F.lit("2015-01-01").cast("date"))
+    return Q.receipt_coverage(wide, table(spark, d, "trading_status").where("source = 'baostock'"), F.lit("2016-01-01").cast("date"), F.lit("2016-12-31").cast("date"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     fs = (
         calendar_orphans, calendar_missing, index_coverage, contiguous_watermark, interior_gaps, shallow_history, session_coverage, off_session, minute_daily_recon, tick_seq_gaps, tick_truncation, tick_direction,
         volume_unit_median, amount_completeness, pk_duplicates, required_nulls, nonfinite, ohlc_invariants, row_mutation_prorated, fragmentation, mixed_granularity, valuation_coverage, last_dense_day,
         macro_stale, macro_revised, pit_bad_announcements, survivorship_status, retired_unmarked, source_diff_fields, source_diff_coverage, deterministic_sample, partial_symbols, placeholder_share, fill_ratio,
+        close_crosscheck, label_differences, delisted_coverage, receipt_coverage,
     )
     return {f.__name__: f for f in fs}
 
@@ -233,6 +258,23 @@ def oracle_sql() -> dict[str, str]:
   when overlap < backup_keys then 'primary_gap' else 'equal' end as state from (select count(p.symbol) as primary_keys, count(b.symbol) as backup_keys, count(*) filter (p.symbol is not null and b.symbol is not null) as overlap from p full join b on p.symbol = b.symbol and p.trade_date = b.trade_date)""",
             p=BARS, b=_MIRROR,
         ),
+        "close_crosscheck": with_parts(
+            "select trade_date, count(*) as compared, count(*) filter (abs(t.close - m.close) > 0.001 * abs(m.close)) as mismatched from t join m using (symbol, trade_date) group by 1",
+            t=f"select * from ({BARS}) where volume > 0 or volume is null qualify row_number() over (partition by trade_date order by amount desc nulls last, volume desc nulls last, symbol) <= 12", m=_MIRROR,
+        ),
+        "label_differences": with_parts(
+            "select coalesce(l.symbol, r.symbol) as symbol, coalesce(l.trade_date, r.trade_date) as trade_date, case when l.symbol is null then 'right_only' else 'left_only' end as side from l full join r on l.symbol = r.symbol and l.trade_date = r.trade_date where l.symbol is null or r.symbol is null",
+            l="select distinct symbol, trade_date from trading_status s where lower(trim(status)) = 'suspended' and exists (select 1 from daily_bars b where b.symbol = s.symbol and b.trade_date = s.trade_date)",
+            r="select distinct symbol, trade_date from daily_bars b where volume = 0 and exists (select 1 from trading_status s where s.symbol = b.symbol and s.trade_date = b.trade_date)",
+        ),
+        "delisted_coverage": with_parts(
+            """select t.symbol, case when last is null then case when terminal <= date '2024-12-31' then 'missing_bars' else 'unknown_overlap' end
+  when terminal <= date '2024-12-31' and last <> terminal and not coalesce(delist_date = terminal + 1 and terminal - last between 1 and 3, false) then 'terminal_mismatch'
+  when known is null then 'missing_instrument' when delist_date is null or delist_date < terminal then 'invalid_delist_date' else 'verified' end as state
+  from t left join (select symbol, max(trade_date) as last from bars where volume > 0 or volume is null group by 1) s using (symbol) left join (select *, 1 as known from i where cast(substr(symbol, 1, 6) as int) % 9 <> 0) k using (symbol)""",
+            t="select symbol, case when cast(substr(symbol, 1, 6) as int) % 2 = 0 then max(trade_date) else max(trade_date) - 31 end as terminal from daily_bars where cast(substr(symbol, 1, 6) as int) % 3 = 0 group by symbol", bars=BARS, i=INSTRUMENTS,
+        ),
+        "receipt_coverage": "select source as receipt_id from trading_status r join (select distinct symbol from trading_status where source = 'baostock' and symbol is not null) u using (symbol) group by 1 having count(distinct symbol) = (select count(distinct symbol) from trading_status where source = 'baostock')",
         "partial_symbols": f"select * from ({_HOLES}) where present < 0.97 * expected",
         "placeholder_share": "select source, count(*) as n, round(avg(case when open = high and high = low and low = close and volume = 0 then 1 else 0 end), 8) as share from daily_bars group by 1",
         "fill_ratio": "select symbol, count(*) as n, count(item_value) as filled, round(count(item_value) / count(*), 8) as ratio from financial_statement_items group by 1",

@@ -26,7 +26,7 @@ DATELESS = (
     "adjust_missing_exact_flag", "universe_strict_missing", "symbol_predicate", "pit_items", "pit_revision_size", "retry_refresh_union", "survivorship_returns", "index_coverage", "minute_daily_recon", "tick_direction",
     "volume_unit_median", "amount_completeness", "required_nulls", "nonfinite", "row_mutation_prorated", "fragmentation", "mixed_granularity", "macro_revised", "source_diff_coverage", "partial_symbols", "placeholder_share",
     "fill_ratio", "compact_merge", "repartition_labels", "stats_partitions", "provenance_mix", "sector_code_map", "sector_fuzzy_routing", "action_expand", "related_symbols_explode", "ordered_priority_topn", "resolve_symbol",
-    "top_liquid", "purge_orphans",
+    "top_liquid", "purge_orphans", "delisted_coverage", "receipt_coverage",
 )
 
 

@@ -248,3 +248,45 @@ def ending_patterns(bars: DataFrame, window: int = 60, least: int = 30) -> DataF
 
 def fill_ratio(df: DataFrame, by: str, column: str) -> DataFrame:
     return df.groupBy(by).agg(F.count(F.lit(1)).alias("n"), F.count(column).alias("filled")).withColumn("ratio", F.round(F.col("filled") / F.col("n"), 8))
+
+
+# --- against references
+
+
+def close_crosscheck(bars: DataFrame, reference: DataFrame, names: int = 12, tolerance: float = 0.001) -> DataFrame:
+    """Per day: of the ``names`` symbols with the greatest amount, how many have a reference close and how many miss it."""
+    order = W.partitionBy("trade_date").orderBy(F.col("amount").desc_nulls_last(), F.col("volume").desc_nulls_last(), "symbol")
+    # Spark turns row_number <= names into a group limit: only so many rows of a day are shuffled from each task
+    top = bars.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= names)
+    ref = reference.select("symbol", "trade_date", F.col("close").alias("reference"))
+    both = top.join(ref, ["symbol", "trade_date"])
+    miss = F.abs(F.col("close") - F.col("reference")) > tolerance * F.abs("reference")
+    return both.groupBy("trade_date").agg(F.count(F.lit(1)).alias("compared"), F.count_if(miss).alias("mismatched"))
+
+
+def label_differences(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
+    """Keys that one side labels and the other does not."""
+    l, r = left.select(*key).distinct().withColumn("l", F.lit(1)), right.select(*key).distinct().withColumn("r", F.lit(1))
+    return l.join(r, key, "full").where("l is null or r is null").select(*key, F.when(F.col("l").isNull(), "right_only").otherwise("left_only").alias("side"))
+
+
+def delisted_coverage(terminal: DataFrame, bars: DataFrame, instruments: DataFrame, end: Column) -> DataFrame:
+    """symbol and state of each terminated symbol (symbol, terminal): whether bars and instruments agree with its end."""
+    spans = bars.groupBy("symbol").agg(F.max("trade_date").alias("last"))
+    t = terminal.join(spans, "symbol", "left").join(instruments.select("symbol", "delist_date", F.lit(1).alias("known")), "symbol", "left")
+    gap = F.datediff("terminal", "last")
+    state = (
+        F.when(F.col("last").isNull(), F.when(F.col("terminal") <= end, "missing_bars").otherwise("unknown_overlap"))
+        .when((F.col("terminal") <= end) & (F.col("last") != F.col("terminal")) & ~F.coalesce((F.col("delist_date") == F.date_add("terminal", 1)) & gap.between(1, 3), F.lit(False)), "terminal_mismatch")
+        .when(F.col("known").isNull(), "missing_instrument").when(F.col("delist_date").isNull() | (F.col("delist_date") < F.col("terminal")), "invalid_delist_date").otherwise("verified")
+    )
+    return t.select("symbol", "terminal", state.alias("state"))
+
+
+def receipt_coverage(receipts: DataFrame, universe: DataFrame, start: Column, end: Column) -> DataFrame:
+    """receipt_id of the completion proofs that cover the window and every symbol of the present universe.
+
+    receipts: receipt_id, start_date, end_date, symbol (one row a symbol)."""
+    n = universe.select("symbol").distinct()
+    hit = receipts.where((F.col("start_date") <= start) & (F.col("end_date") >= end)).join(n, "symbol").groupBy("receipt_id").agg(F.countDistinct("symbol").alias("hit"))
+    return hit.join(F.broadcast(n.agg(F.count(F.lit(1)).alias("need")))).where("hit = need").select("receipt_id")
