@@ -39,6 +39,7 @@ _TOKEN = re.compile(
     r"(?P<url>(?:https?:)?//[^\s)\"'<>\]]+|www\.[^\s)\"'<>\]]+)|(?P<tag><[^<>]{0,400}>)|(?P<code>\d{6}\.[A-Z]{2})|(?P<num>\d[\d.,:/-]*)"
     r"|(?P<cjk>[㐀-鿿])|(?P<word>[^\W\d_]+)|(?P<nl>\n)|(?P<other>[^\w\s]|_)"
 )
+_SPLIT = re.compile(re.sub(r"\(\?P<\w+>", "(?:", _TOKEN.pattern))
 _KINDS = {k: i for i, k in enumerate(("url", "tag", "code", "num", "cjk", "word", "nl", "other"))}
 _URL, _TAG, _CODE, _NUM, _CJK, _WORD, _NL, _OTHER = range(8)
 _STOPS = frozenset(".!?。！？")
@@ -47,106 +48,126 @@ _HREF = re.compile(r"""<a\s[^<>]*href\s*=\s*["']?([^"'<>\s]*)""", re.I)
 _BLOCK = re.compile(r"</?(?:p|div|li|ul|ol|br|h\d|tr|table|section|article|nav)\b", re.I)
 
 
-def suffix_automaton(tokens: list[int]) -> tuple[list[int], list[int], list[dict], list[int], list[int]]:
-    """Lengths, suffix links, transitions, occurrence counts, and the state of each prefix."""
-    length, link, step, count, at = [0], [-1], [{}], [0], []
-    last = 0
+def suffix_automaton(tokens: list) -> tuple[list[int], list[int], list[int], list[int], list[int]]:
+    """Lengths, suffix links, occurrence counts, the state of each prefix, and the states by length."""
+    room = 2 * len(tokens) + 1
+    length, link, count = [0] * room, [0] * room, [0] * room
+    step: list[dict] = [{}]
+    link[0] = -1
+    at: list[int] = []
+    last, size = 0, 1
     for t in tokens:
-        cur = len(length)
-        length.append(length[last] + 1)
-        link.append(0)
+        cur = size
+        size += 1
         step.append({})
-        count.append(1)
+        length[cur] = length[last] + 1
+        count[cur] = 1
         p = last
-        while p >= 0 and t not in step[p]:
-            step[p][t] = cur
+        known = step[p]
+        while t not in known:
+            known[t] = cur
             p = link[p]
-        if p >= 0:
-            q = step[p][t]
-            if length[p] + 1 == length[q]:
+            if p < 0:
+                break
+            known = step[p]
+        else:
+            q = known[t]
+            n = length[p] + 1
+            if n == length[q]:
                 link[cur] = q
             else:
-                clone = len(length)
-                length.append(length[p] + 1)
-                link.append(link[q])
+                clone = size
+                size += 1
                 step.append(step[q].copy())
-                count.append(0)
+                length[clone] = n
+                link[clone] = link[q]
                 while p >= 0 and step[p].get(t) == q:
                     step[p][t] = clone
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
         at.append(cur)
-    order = sorted(range(1, len(length)), key=length.__getitem__, reverse=True)
-    for s in order:
-        if link[s] > 0:
-            count[link[s]] += count[s]
-    return length, link, step, count, at
+    order = sorted(range(1, size), key=length.__getitem__)
+    for s in reversed(order):
+        count[link[s]] += count[s]
+    return length, link, count, at, order
 
 
-def repeated_positions(tokens: list[int], min_repeats: int = 3) -> bytearray:
+def repeated_positions(tokens: list, min_repeats: int = 3) -> bytearray:
     """1 for each token inside some substring that occurs ``min_repeats`` times or more."""
     covered = bytearray(len(tokens))
     if not tokens:
         return covered
-    length, link, _, count, at = suffix_automaton(tokens)
+    length, link, count, at, order = suffix_automaton(tokens)
     # longest suffix of each state's strings that is repeated often enough; links point to shorter strings
     best = [0] * len(length)
-    for s in sorted(range(1, len(length)), key=length.__getitem__):
+    for s in order:
         best[s] = length[s] if count[s] >= min_repeats else best[link[s]]
     reach = len(tokens)
     for i in range(len(tokens) - 1, -1, -1):
-        n = best[at[i]]
-        if n:
-            start = i - n + 1
-            for j in range(max(start, 0), min(i + 1, reach)):
-                covered[j] = 1
-            reach = min(reach, max(start, 0))
+        start = i - best[at[i]] + 1
+        if start <= i and start < reach:
+            end = min(i + 1, reach)
+            covered[start:end] = b"\1" * (end - start)
+            reach = start
     return covered
 
 
+#: What a token is, by its text: kind, key in the automaton, size and lower-cased word.  Emptied when it grows too large.
+_KNOWN: dict[str, tuple[int, str, int, str]] = {}
+_MOST_KNOWN = 500_000
+
+
+def _token(s: str) -> tuple[int, str, int, str]:
+    k = _KINDS[_TOKEN.match(s).lastgroup]
+    n, key, word = len(s), s, s
+    if k == _TAG:
+        key = word = s[:3].lower()
+        if word in ("<a ", "<a>"):
+            href = _HREF.match(s)
+            key, word, n = "<a>", "<a>", len(href.group(1)) if href else 0
+        elif word == "</a":
+            key, n = "</a>", 0
+        else:
+            n = 0
+            if _BLOCK.match(s):
+                k = _NL
+    elif k == _URL:
+        key = "<url>"
+    elif k in (_CODE, _NUM):
+        key = "<n>"
+    elif k == _WORD:
+        key = word = s.lower()
+    elif k == _NL:
+        n = 0
+    if len(_KNOWN) >= _MOST_KNOWN:
+        _KNOWN.clear()
+    if len(s) <= 100:
+        _KNOWN[s] = (k, key, n, word)
+    return k, key, n, word
+
+
+def tokens_of(text: str) -> list[tuple[int, str, int, str]]:
+    known = _KNOWN.get
+    return [known(s) or _token(s) for s in _SPLIT.findall(text)]
+
+
 def page_profile(text: str | None, min_repeats: int = 3, max_clause_words: int = 60) -> tuple[int, int]:
     """(visible characters of the page, those of stuffing, links and tags).  Fenced code is left out of both."""
     if not text:
         return 0, 0
     text = _FENCE.sub("\n", html.unescape(text))
-    ids: dict = {}
-    seq: list[int] = []
-    size: list[int] = []
-    kind: list[int] = []
-    word: list[str] = []
-    linked: list[int] = []
-    in_link = 0
-    for m in _TOKEN.finditer(text):
-        k = _KINDS[m.lastgroup]
-        s = m.group()
-        n = len(s)
-        if k == _TAG:
-            low = s[:3].lower()
-            if low in ("<a ", "<a>"):
-                href = _HREF.match(s)
-                in_link, key, n = 1, "<a>", len(href.group(1)) if href else 0
-            elif low == "</a":
-                in_link, key, n = 0, "</a>", 0
-            else:
-                key, n = low, 0
-                if _BLOCK.match(s):
-                    k = _NL
-        elif k == _URL:
-            key = "<url>"
-        elif k in (_CODE, _NUM):
-            key = "<n>"
-        elif k == _WORD:
-            key = s = s.lower()
-        else:
-            key = s
-            if k == _NL:
-                n = 0
-        seq.append(ids.setdefault(key, len(ids)))
-        size.append(n)
-        kind.append(k)
-        word.append(s)
-        linked.append(in_link)
+    toks = tokens_of(text)
+    if not toks:
+        return 0, 0
+    kind, seq, size, word = zip(*toks)
+    linked: list[int] | bytes = bytes(len(toks))
+    if "<a>" in seq:
+        linked, inside = [], 0
+        for k, w in zip(kind, word):
+            if k == _TAG and w in ("<a>", "</a"):
+                inside = int(w == "<a>")
+            linked.append(inside)
     total = sum(size)
     if not total:
         return 0, 0
