@@ -21,6 +21,7 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+import uuid
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import reduce
@@ -103,7 +104,10 @@ class ItemIndex:
         self.p_windows = [np.array(x, np.int64) for x in piece_windows]
         self.p_offset = [self.w_start[x] - a for x, a in zip(self.p_windows, piece_at)]  # of the window before the piece
         self.words = list(pieces)
-        self.word_pieces = [pieces[w] for w in self.words]
+        # the windows of each word's pieces, one after the other, and where they start before the hit
+        of_word = [(w, o) for word in self.words for p in pieces[word] for w, o in zip(self.p_windows[p].tolist(), self.p_offset[p].tolist())]
+        self.flat = np.array(of_word, np.int64).reshape(-1, 2)
+        self.first = np.concatenate(([0], np.cumsum([sum(len(self.p_windows[p]) for p in pieces[w]) for w in self.words]))).astype(np.int64)
         alphabet = sorted(set("".join(texts)))
         self.code = np.zeros(0x110000, np.uint16)
         self.code[[ord(c) for c in alphabet]] = np.arange(1, len(alphabet) + 1)
@@ -143,22 +147,14 @@ class ItemIndex:
     def encode(self, text: str) -> np.ndarray:
         return self.code[np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)]
 
+    def hits(self, text: str) -> list[tuple[int, int]]:
+        """Words that occur and where."""
+        return [(x, end - n + 1) for end, (x, n) in self.automaton.iter(text)] if self.words else []
+
     def candidates(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Windows and where they would start in the text; each pair once."""
-        win, at = [], []
-        for end, (x, n) in self.automaton.iter(text) if self.words else ():
-            start = end - n + 1
-            for p in self.word_pieces[x]:
-                win.append(self.p_windows[p])
-                at.append(self.p_offset[p] + start)
-        if not win:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        # starts within the budget of one another are the same alignment
-        pair = np.unique(np.stack([np.concatenate(win), np.concatenate(at)]), axis=1)
-        if pair.shape[1] > 1:
-            near = (np.diff(pair[0]) == 0) & (np.diff(pair[1]) == 0)
-            pair = pair[:, np.r_[True, ~near]]
-        return pair[0], pair[1]
+        found = np.array(self.hits(text), np.int64).reshape(-1, 2)
+        win, at, _ = self._expand_owned(found, np.zeros(len(found), np.int64))
+        return win, at
 
     def verify(self, win: np.ndarray, at: np.ndarray, doc: np.ndarray, base: np.ndarray, stop: np.ndarray) -> np.ndarray:
         """Which windows occur within the budget in doc[at - budget : at + length + budget], clipped to [base, stop)."""
@@ -190,28 +186,44 @@ class ItemIndex:
             best = np.where(live, np.minimum(best, score), best)
         return best <= k
 
-    def shares(self, texts: list[str | None], block: int = 200_000) -> Iterator[tuple[int, int, float]]:
+    def shares(self, texts: list[str | None], block: int = 100_000) -> Iterator[tuple[int, int, float]]:
         """(index of the text, item, share of the item's own letters found)."""
-        wins, ats, of, bases, stops, docs = [], [], [], [], [], []
-        offset = n_pairs = 0
+        docs: list[np.ndarray] = []
+        of: list[int] = []
+        found: list[tuple[int, int]] = []
+        offset = 0
         for i, raw in enumerate(texts):
             t = letters(raw)
-            w, a = self.candidates(t)
-            if len(w):
+            if hits := self.hits(t):
+                found += [(x, s + offset) for x, s in hits]
                 docs.append(self.encode(t))
-                wins.append(w)
-                ats.append(a + offset)
-                of.append(np.full(len(w), i))
-                bases.append(np.full(len(w), offset))
-                stops.append(np.full(len(w), offset + len(docs[-1])))
-                offset += len(docs[-1])
-                n_pairs += len(w)
-            if wins and (n_pairs >= block or i == len(texts) - 1):
-                yield from self._found(*map(np.concatenate, (wins, ats, of, bases, stops, docs)), block)
-                wins, ats, of, bases, stops, docs = [], [], [], [], [], []
-                offset = n_pairs = 0
-        if wins:
-            yield from self._found(*map(np.concatenate, (wins, ats, of, bases, stops, docs)), block)
+                of.append(i)
+                offset += len(t)
+            if len(found) >= block:
+                yield from self._searched(docs, of, found)
+                docs, of, found, offset = [], [], [], 0
+        if found:
+            yield from self._searched(docs, of, found)
+
+    def _searched(self, docs: list[np.ndarray], of: list[int], found: list[tuple[int, int]], block: int = 200_000) -> Iterator[tuple[int, int, float]]:
+        ends = np.cumsum([len(d) for d in docs])
+        pair = np.array(found, np.int64)
+        # a window may start before its document, but its hit lies inside: the document is that of the hit
+        owner = np.searchsorted(ends, pair[:, 1], side="right")
+        text = np.concatenate(docs)
+        win, at, own = self._expand_owned(pair, owner)
+        yield from self._found(win, at, np.array(of)[own], np.concatenate(([0], ends[:-1]))[own], ends[own], text, block)
+
+    def _expand_owned(self, pair: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Windows of the hits, where they would start, and their document; each triple once."""
+        n = self.first[pair[:, 0] + 1] - self.first[pair[:, 0]]
+        at = np.repeat(self.first[pair[:, 0]] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+        win, start, own = self.flat[at, 0], self.flat[at, 1] + np.repeat(pair[:, 1], n), np.repeat(owner, n)
+        order = np.lexsort((start, win, own))
+        win, start, own = win[order], start[order], own[order]
+        new = np.ones(len(win), bool)
+        new[1:] = (win[1:] != win[:-1]) | (start[1:] != start[:-1]) | (own[1:] != own[:-1])
+        return win[new], start[new], own[new]
 
     def _found(self, win, at, of, base, stop, doc, block: int) -> Iterator[tuple[int, int, float]]:
         ok = np.concatenate([self.verify(win[s : s + block], at[s : s + block], doc, base[s : s + block], stop[s : s + block]) for s in range(0, len(win), block)])
@@ -247,6 +259,9 @@ class ItemIndex:
         return self.alphabet[codes].tobytes().decode("utf-32-le")
 
 
+_BUILT: dict[str, ItemIndex] = {}
+
+
 def leak_shares(documents: DataFrame, items: DataFrame, budget: int = 2, piece_latin: int = 12, piece_cjk: int = 6, max_item_chars: int = 20_000_000) -> DataFrame:
     """doc_id, item_id, share of every document that holds some window of an item.  One pass over the corpus, no shuffle."""
     rows = items.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null")
@@ -262,9 +277,13 @@ def leak_shares(documents: DataFrame, items: DataFrame, budget: int = 2, piece_l
 
 def _search(docs: DataFrame, part: list[tuple[int, str]], budget: int, piece_latin: int, piece_cjk: int) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(part)
+    name = uuid.uuid4().hex
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = ItemIndex(sent.value, budget, piece_latin, piece_cjk)
+        index = _BUILT.get(name)
+        if index is None:  # once in each worker process, not in each task
+            _BUILT.clear()
+            index = _BUILT[name] = ItemIndex(sent.value, budget, piece_latin, piece_cjk)
         for b in batches:
             ids = b.column(0).to_pylist()
             for s in range(0, len(ids), 500):
