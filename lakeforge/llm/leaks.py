@@ -23,7 +23,7 @@ import re
 import unicodedata
 import uuid
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
 import ahocorasick
@@ -262,6 +262,14 @@ class ItemIndex:
 _BUILT: dict[str, ItemIndex] = {}
 
 
+def built_index(name: str, build: Callable[[], ItemIndex]) -> ItemIndex:
+    """The index of one search, once in each worker process; a function of the module, so that tasks share its store."""
+    if name not in _BUILT:
+        _BUILT.clear()
+        _BUILT[name] = build()
+    return _BUILT[name]
+
+
 def leak_shares(documents: DataFrame, items: DataFrame, budget: int = 2, piece_latin: int = 12, piece_cjk: int = 6, max_item_chars: int = 20_000_000) -> DataFrame:
     """doc_id, item_id, share of every document that holds some window of an item.  One pass over the corpus, no shuffle."""
     rows = items.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null")
@@ -280,10 +288,7 @@ def _search(docs: DataFrame, part: list[tuple[int, str]], budget: int, piece_lat
     name = uuid.uuid4().hex
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = _BUILT.get(name)
-        if index is None:  # once in each worker process, not in each task
-            _BUILT.clear()
-            index = _BUILT[name] = ItemIndex(sent.value, budget, piece_latin, piece_cjk)
+        index = built_index(name, lambda: ItemIndex(sent.value, budget, piece_latin, piece_cjk))
         for b in batches:
             ids = b.column(0).to_pylist()
             for s in range(0, len(ids), 500):
