@@ -45,9 +45,11 @@ class MergeList:
         self.lookahead = max(map(len, self.ranks)) - 1
         self.inner = {a << 8 | b for t in self.ranks for a, b in zip(t, t[1:])}
         self._fits: dict[tuple[int, int], bool] = {}
-        ends: dict[int, int] = {}
+        # the longest token by its last three bytes: how far back a token that ends here can begin
+        ends: dict[bytes, int] = {}
         for t in self.ranks:
-            ends[t[-1]] = max(ends.get(t[-1], 0), len(t))
+            if len(t) > 2:
+                ends[t[-3:]] = max(ends.get(t[-3:], 0), len(t))
         self.longest_by_end = ends
 
     def merge(self, word: bytes) -> list[int]:
@@ -84,19 +86,22 @@ class Transducer:
     def feed(self, piece: bytes) -> Iterator[int]:
         for b in piece:
             self.text.append(b)
-            self._advance(b)
+            self._advance()
             if len(self.text) >= self.window:
                 yield from self._stable()
 
-    def _advance(self, b: int) -> None:
+    def _advance(self) -> None:
         end = len(self.text)
         ranks, last, fits = self.merges.ranks, self.last, self.merges.fits
-        for n in range(min(end, self.merges.longest_by_end[b]), 0, -1):
-            t = ranks.get(bytes(self.text[end - n :]))
+        most = min(end, self.merges.longest_by_end.get(bytes(self.text[-3:]), 2))
+        tail = bytes(self.text[-most:])
+        for cut in range(most):  # the longest first
+            t = ranks.get(tail[cut:])
             if t is None:
                 continue
-            left = last[end - n - 1] if end > n else self.before
-            if left == -1 or (left >= 0 and fits(left, t)):
+            at = end - most + cut
+            left = last[at - 1] if at else self.before
+            if left == -1 or fits(left, t):
                 last.append(t)
                 return
         raise ValueError("the vocabulary lacks a single byte")
@@ -134,21 +139,42 @@ class Encoder:
         self.merges = MergeList(path)
         self.pattern = regex.compile(PRETOKEN)
         self.cache_size = cache
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.words: dict[str, list[int]] = {}
         self.parts: dict[bytes, tuple[int, ...]] = {}
 
     def _part(self, part: bytes) -> tuple[int, ...]:
         known = self.parts.get(part)
         if known is None:
-            m = Transducer(self.merges)
-            known = (*m.feed(part), *m.finish())
+            whole = self.merges.ranks.get(part)
+            if whole is not None:  # the machine's last state would be this token, with nothing before it
+                known = (whole,)
+            else:
+                m = Transducer(self.merges)
+                known = (*m.feed(part), *m.finish())
             if len(part) <= 64:
                 if len(self.parts) >= self.cache_size:
                     self.parts.clear()
                 self.parts[part] = known
         return known
 
-    def _word(self, word: str) -> Iterator[int]:
+    def _word(self, word: str) -> list[int]:
+        """A pretoken, cut where one byte of lookahead settles it."""
+        if len(word) > 4096:
+            return list(self._giant(word))
+        data = word.encode("utf-8", "replace")
+        inner, parts, out, start, prev = self.merges.inner, self.parts, [], 0, data[0]
+        for i in range(1, len(data)):
+            b = data[i]
+            if prev << 8 | b not in inner:
+                part = data[start:i]
+                out += parts.get(part) or self._part(part)
+                start = i
+            prev = b
+        part = data[start:]
+        out += parts.get(part) or self._part(part)
+        return out
+
+    def _giant(self, word: str) -> Iterator[int]:
         inner = self.merges.inner
         held = bytearray()
         machine: Transducer | None = None
@@ -179,15 +205,14 @@ class Encoder:
         if not text:
             return out
         words, put = self.words, out.extend
-        for m in self.pattern.finditer(text):
-            w = m.group()
+        # short texts at once; long ones pretoken by pretoken, so that no list of them is held
+        for w in self.pattern.findall(text) if len(text) <= 100_000 else (m.group() for m in self.pattern.finditer(text)):
             known = words.get(w)
             if known is None:
+                known = self._word(w)
                 if len(w) > 64:
-                    for t in self._word(w):
-                        out.append(t)
+                    put(known)
                     continue
-                known = tuple(self._word(w))
                 if len(words) >= self.cache_size:
                     words.clear()
                 words[w] = known
