@@ -2,11 +2,13 @@
 
 Runs (stored fragments) of one merge unit are merged level by level: at each level the runs of a size tier up to
 that level are ordered by size and merged ``fan_in`` at a time, so that bytes move only among runs of like size.
-The levels are planned on metadata alone (one row a file); rows move once, straight to their final run.  Every
-merge is a line of the transaction journal with its inputs and output.  A transaction's name is the hash of its
-inputs, so planning the same inputs again names the same transactions, and finished ones are recognised.
+The levels are planned on metadata alone (one row a file) and the merged units packed, in key order, into files of
+about ``target_bytes``; then every row moves once, straight into the packed file of its unit's final run.
 
-Finally the merged units are packed, in key order, into files of about ``target_bytes``.
+A packed file is one transaction, named by the hash of its runs: their units, input files, row counts and contents.
+It is carried out in three steps below ``store``: ``data`` gets its rows, ``journal`` the line of every merge in it,
+and ``finished`` its name, in one file.  A rerun plans the same names, leaves finished ones as they lie and replaces
+what an interrupted run left of others.  Counts after the merge are taken from the written files.
 
 Defined results: rows with a null merge key are kept and merged by null-safe grouping; the same row in several
 files stays once, the latest ``fetched_at`` winning; files without rows take part in no merge; an empty table
@@ -16,14 +18,18 @@ their runs, whose count alone decides, and merge in later levels; nothing is dro
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lakeforge.functions.joins import null_safe_join
-from lakeforge.session import cut
+from lakeforge.session import cut, shared_folder
+from lakeforge.sources.files import exists
 
 
 def partition_label(path: str = "file_path", column: str = "trade_date") -> F.Column:
@@ -31,8 +37,8 @@ def partition_label(path: str = "file_path", column: str = "trade_date") -> F.Co
 
 
 def fragments(rows: DataFrame, files: DataFrame, unit: list[str]) -> DataFrame:
-    """One row for each unit and file: rows, bytes (the file's, in proportion) and the directory the file lies in."""
-    counts = rows.groupBy(*unit, "file_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    """One row for each unit and file: rows, bytes (the file's, in proportion), a fingerprint of the rows and the directory the file lies in."""
+    counts = rows.groupBy(*unit, "file_id").agg(F.count(F.lit(1)).alias("n_rows"), F.bit_xor(F.xxhash64(*rows.columns)).alias("print"))
     about = files.select("file_id", F.col("n_rows").alias("file_rows"), F.col("n_bytes").alias("file_bytes"), partition_label().alias("label")).dropDuplicates(["file_id"])
     share = F.col("n_rows") * F.coalesce(F.try_divide("file_bytes", "file_rows"), F.lit(64.0))
     return counts.join(about, "file_id", "left").withColumn("n_bytes", F.ceil(share).cast("bigint")).drop("file_rows", "file_bytes")
@@ -69,17 +75,66 @@ def merge_levels(runs: DataFrame, unit: list[str], fan_in: int = 32, base_bytes:
     return runs, reduce(DataFrame.unionByName, journal).select(*names)
 
 
+class Compacted(NamedTuple):
+    """units: counts before and after, period and file_no of each unit; rows: every key once, as written; written: rows and bytes of each packed file."""
+
+    units: DataFrame
+    journal: DataFrame
+    rows: DataFrame
+    written: DataFrame
+
+
 def compact(rows: DataFrame, files: DataFrame, unit: list[str], key: list[str], fan_in: int = 32, target_bytes: int = 128 << 20) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(units, journal, rows).  units: counts before and after and the packed file of each unit; rows: every key once."""
+    """(units, journal, rows) of a compaction into a new folder of its own."""
+    done = carry_out(rows, files, unit, key, f"{shared_folder(rows.sparkSession)}/compacted-{uuid.uuid4().hex}", F.lit(""), fan_in, target_bytes)
+    return done.units, done.journal, done.rows
+
+
+def carry_out(rows: DataFrame, files: DataFrame, unit: list[str], key: list[str], store: str, period: F.Column, fan_in: int = 32, target_bytes: int = 128 << 20) -> Compacted:
+    """Plans the merges, writes what ``store`` doesn't hold finished, and counts what is written.  period: of the unit's columns."""
+    spark = rows.sparkSession
     parts = cut(fragments(rows, files, unit))
     before = parts.groupBy(*unit).agg(
-        F.countDistinct("file_id").alias("files_before"), F.countDistinct(F.nullif("label", F.lit(""))).alias("partitions_before"), F.sum("n_rows").alias("rows_before")
+        F.countDistinct("file_id").alias("files_before"), F.countDistinct(F.nullif("label", F.lit(""))).alias("partitions_before"), F.sum("n_rows").alias("rows_before"), F.bit_xor(F.xxhash64("file_id", "n_rows", "print")).alias("print")
     )
-    runs, journal = merge_levels(parts.withColumn("run_id", F.col("file_id").cast("string")).withColumn("n_files", F.lit(1).cast("bigint")), unit, fan_in)
-    newest = merged_rows(rows, unit, key)
-    after = newest.groupBy(*unit).agg(F.count(F.lit(1)).alias("rows_after"))
-    units = null_safe_join(null_safe_join(before, after, unit), runs.withColumnsRenamed({"n_files": "files_merged", "n_bytes": "bytes_merged"}).drop("n_rows"), unit)
-    return units, journal, newest
+    runs, plan = merge_levels(parts.withColumn("run_id", F.col("file_id").cast("string")).withColumn("n_files", F.lit(1).cast("bigint")), unit, fan_in)
+    merged = null_safe_join(before, runs.withColumnsRenamed({"n_files": "files_merged", "n_bytes": "bytes_merged"}).drop("n_rows"), unit)
+    packed = cut(packed_files(merged, period, unit, target_bytes))
+    line = F.to_json(F.struct(*unit, "run_id", "print"))
+    named = packed.groupBy("period", "file_no").agg(F.sha2(F.concat_ws(",", F.sort_array(F.collect_list(line))), 256).alias("_tx"), F.min(F.struct(*unit)).alias("_from"), F.max(F.struct(*unit)).alias("_to"))
+    planned = cut(named)  # one row a packed file
+    packed = null_safe_join(packed, planned.select("period", "file_no", "_tx"), ["period", "file_no"])
+
+    finished = f"{store}/finished"
+    todo = planned.join(spark.read.schema("_tx string").parquet(finished), "_tx", "left_anti") if exists(spark, finished) else planned
+    todo = cut(todo)
+    stored, journal = f"{store}/data", f"{store}/journal"
+    lines = null_safe_join(plan, packed.select(*unit, "_tx"), unit)
+    if not todo.isEmpty() or not exists(spark, stored):
+        at = F.struct(*(F.col(c) for c in unit))
+        # the units of a packed file follow each other, so a row's file is found by its range
+        ranges = F.broadcast(todo.withColumnRenamed("period", "_period").select("_period", "_from", "_to", "_tx"))
+        own = rows.withColumn("_at", at).withColumn("_of", period)
+        own = own.join(ranges, F.col("_of").eqNullSafe(F.col("_period")) & (F.col("_at") >= F.col("_from")) & (F.col("_at") <= F.col("_to"))).select("_tx", *rows.columns)
+        newest = merged_rows(own, ["_tx", *unit], key).select("_tx", *rows.columns)
+        _replace(newest.repartition("_tx").sortWithinPartitions("_tx", *unit, *key), stored)
+        _replace(lines.join(F.broadcast(todo.select("_tx")), "_tx", "left_semi").repartition("_tx"), journal)
+        todo.select("_tx").coalesce(1).write.mode("append").parquet(finished)
+
+    mine = F.broadcast(planned.select("_tx"))
+    data = spark.read.schema(StructType([*rows.schema, StructField("_tx", StringType())])).parquet(stored)
+    per_unit = data.join(mine, "_tx", "left_semi").groupBy(*unit).agg(F.count(F.lit(1)).alias("rows_after"))
+    files_of = data.select("_tx", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size")).join(mine, "_tx", "left_semi")
+    written = files_of.groupBy("_tx", "path").agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("n")).groupBy("_tx").agg(F.sum("n").alias("n_rows"), F.sum("size").alias("n_bytes"), F.count(F.lit(1)).alias("n_files"))
+    written = planned.select("period", "file_no", "_tx").join(written, "_tx")
+    units = null_safe_join(packed.drop("print"), per_unit, unit)
+    told = spark.read.schema(lines.schema).parquet(journal).join(mine, "_tx", "left_semi").select(*plan.columns)
+    return Compacted(units, told, data.join(mine, "_tx", "left_semi").select(*rows.columns), written)
+
+
+def _replace(rows: DataFrame, path: str) -> None:
+    """Writes each transaction's rows to one file, in place of any that an interrupted run left."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_tx").parquet(path)
 
 
 def merged_rows(rows: DataFrame, unit: list[str], key: list[str]) -> DataFrame:

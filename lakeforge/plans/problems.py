@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,14 +10,14 @@ from pyspark.sql import functions as F
 
 from lakeforge.functions.columns import canonical_symbol, iso_date
 from lakeforge.operators.attributes import fact_history, known_attributes, membership_history, unpivot_known
-from lakeforge.operators.compaction import compact, packed_files
+from lakeforge.operators.compaction import Compacted, carry_out
 from lakeforge.operators.drift import column_names, schema_changes, union_schema, union_table
 from lakeforge.operators.fusion import best_rows, claims, field_sources, fused_values
 from lakeforge.operators.history import snapshot_readings, versions
 from lakeforge.operators.reconcile import current_rows, differences
 from lakeforge.operators.spikes import implausible
 from lakeforge.registry import dataset
-from lakeforge.session import cut
+from lakeforge.session import cut, shared_folder
 
 PRICES = ["open", "high", "low", "close", "volume", "amount"]
 
@@ -25,23 +26,26 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _p1(spark: SparkSession, folder: str) -> Compacted:
+    """The folder's ticks compacted by month; what an earlier query of the same folder has finished is not done again."""
+    store = f"{shared_folder(spark)}/compacted-{hashlib.sha256(folder.encode()).hexdigest()[:16]}"
+    return carry_out(table(spark, folder, "trade_ticks"), table(spark, folder, "lake_files"), ["symbol", "trade_date"], ["tick_seq"], store, F.date_format("trade_date", "yyyy-MM"))
+
+
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
-    units, _, _ = compact(table(spark, folder, "trade_ticks").select("symbol", "trade_date", "tick_seq", "fetched_at", "file_id"), table(spark, folder, "lake_files"), ["symbol", "trade_date"], ["tick_seq"])
-    return units.where("files_before >= 2").select("symbol", iso_date("trade_date").alias("trade_date"), "files_before", "partitions_before", "rows_after")
+    return _p1(spark, folder).units.where("files_before >= 2").select("symbol", iso_date("trade_date").alias("trade_date"), "files_before", "partitions_before", "rows_after")
 
 
 def p1_packed(spark: SparkSession, folder: str) -> DataFrame:
-    """The compacted files: by month, file number, sessions, rows and bytes."""
-    ticks = table(spark, folder, "trade_ticks").select("symbol", "trade_date", "tick_seq", "fetched_at", "file_id")
-    units, _, _ = compact(ticks, table(spark, folder, "lake_files"), ["symbol", "trade_date"], ["tick_seq"])
-    files = packed_files(units, F.date_format("trade_date", "yyyy-MM"), ["symbol", "trade_date"])
-    return files.groupBy("period", "file_no").agg(F.count(F.lit(1)).alias("sessions"), F.sum("rows_after").alias("n_rows"), F.sum("bytes_merged").alias("n_bytes"), F.sum("files_before").alias("files_before"))
+    """The compacted files as written: by month, file number, sessions, rows and bytes."""
+    done = _p1(spark, folder)
+    units = done.units.groupBy("_tx").agg(F.count(F.lit(1)).alias("sessions"), F.sum("files_before").alias("files_before"))
+    return done.written.join(units, "_tx").select("period", "file_no", "sessions", "n_rows", "n_bytes", "files_before")
 
 
 def p1_journal(spark: SparkSession, folder: str) -> DataFrame:
-    """The transaction journal: every merge with its level, output, number of inputs, rows and bytes."""
-    ticks = table(spark, folder, "trade_ticks").select("symbol", "trade_date", "tick_seq", "fetched_at", "file_id")
-    _, journal, _ = compact(ticks, table(spark, folder, "lake_files"), ["symbol", "trade_date"], ["tick_seq"])
+    """The stored journal: every merge with its level, output, number of inputs, rows and bytes."""
+    journal = _p1(spark, folder).journal
     return journal.select("symbol", iso_date("trade_date").alias("trade_date"), "level", "run_id", F.size("inputs").alias("inputs"), "n_files", "n_rows", "n_bytes")
 
 

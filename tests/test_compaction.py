@@ -68,3 +68,27 @@ def test_packing_cuts_by_size(spark):
     packed = packed_files(u, F.lit("2024-01"), ["symbol", "trade_date"], 100)
     sizes = [r["count"] for r in packed.groupBy("file_no").count().toLocalIterator()]
     assert sum(sizes) == 10 and max(sizes) <= 3
+
+
+def test_runs_are_written_and_finished_ones_stay(spark, tmp_path):
+    import glob
+    import os
+    import shutil
+
+    from pyspark.sql import functions as F
+
+    from lakeforge.operators.compaction import carry_out
+
+    ticks = [("A.SH", dt.date(2024, m, 2), s, 1.0 * f, at(f), f) for m in (1, 2) for f in range(6) for s in (f // 2, f // 2 + 1)]
+    store = str(tmp_path / "store")
+    run = lambda data: carry_out(spark.createDataFrame(data, TICKS), files(spark, 7), UNIT, KEY, f"file://{store}", F.date_format("trade_date", "yyyy-MM"))
+    parts = lambda: {p: os.stat(p).st_mtime_ns for p in glob.glob(f"{store}/data/*/*.parquet")}
+    done, first = run(ticks), parts()
+    assert len(first) == 2 and sorted((r.period, r.n_rows, r.n_files) for r in done.written.toLocalIterator()) == [("2024-01", 4, 1), ("2024-02", 4, 1)]
+    assert {r.n_bytes for r in done.written.toLocalIterator()} == {os.path.getsize(p) for p in first}
+    assert spark.read.parquet(*first).where("tick_seq = 3").select("price").distinct().first().price == 5.0
+    assert done.journal.count() == 2 and run(ticks).rows.count() == 8 and parts() == first
+    more = run([*ticks, ("A.SH", dt.date(2024, 2, 2), 9, 1.0, at(9), 6)])  # only February is written
+    assert len(parts()) == 3 and first.items() <= parts().items() and more.rows.count() == 9
+    shutil.rmtree(f"{store}/finished")  # as if interrupted before the names were noted
+    assert run(ticks).rows.count() == 8 and len(parts()) == 3
