@@ -51,7 +51,7 @@ def robust_ar(r: np.ndarray, use: np.ndarray) -> tuple[float, float]:
     return phi, float(max(s, 0.5 * scale))
 
 
-def find_spikes(x: np.ndarray, moving: np.ndarray, threshold: float = 8.0, max_patch: int = 3, floor: float = 1e-5, rounds: int = 20) -> tuple[np.ndarray, np.ndarray, float]:
+def find_spikes(x: np.ndarray, moving: np.ndarray, threshold: float = 8.0, max_patch: int = 3, floor: float = 1e-5) -> tuple[np.ndarray, np.ndarray, float]:
     """Which readings of the log series are additive outliers; the cleaned series; the scale of its changes.
 
     moving: readings that count for the usual movement."""
@@ -59,7 +59,8 @@ def find_spikes(x: np.ndarray, moving: np.ndarray, threshold: float = 8.0, max_p
     spike = np.zeros(len(x), bool)
     shifted = np.zeros(len(x), bool)
     scale = floor
-    for _ in range(rounds):
+    found = True
+    while found:  # each round marks a new reading
         r = np.diff(x)
         use = moving[1:] & moving[:-1] & ~spike[1:] & ~spike[:-1] & ~shifted[1:]
         phi, s = robust_ar(r, use)
@@ -91,8 +92,6 @@ def find_spikes(x: np.ndarray, moving: np.ndarray, threshold: float = 8.0, max_p
             found = True
             if back:
                 break
-        if not found:
-            break
     return spike, x, scale
 
 

@@ -83,3 +83,11 @@ def test_stuck_threshold_follows_the_rate_of_repeats():
     same = rng.random(300) < 0.02
     same[100:110] = True
     assert find_stuck(same)[100:110].all()
+
+
+def test_a_long_series_keeps_all_its_spikes():
+    x = np.cumsum(np.random.default_rng(4).normal(0, 0.01, 4000))
+    at = np.arange(40, 4000, 80)
+    x[at] += 1.0
+    spike, _, _ = find_spikes(x, np.ones(4000, bool))
+    assert np.flatnonzero(spike).tolist() == at.tolist()
