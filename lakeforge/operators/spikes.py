@@ -71,26 +71,30 @@ def find_spikes(x: np.ndarray, moving: np.ndarray, threshold: float = 8.0, max_p
         found = False
         for i in np.flatnonzero(np.abs(e) > threshold * scale):
             t = i + 1  # the reading after the change
-            if spike[t] or shifted[t] or spike[t - 1]:
+            if spike[t] or shifted[t]:
                 continue
             level = x[t - 1]
-            back = 0
+            back = most = 0
             for n in range(1, max_patch + 1):
                 if t + n >= len(x):
                     break
-                away = abs(x[t + n] - level)  # back: within the usual movement, or most of the way
-                near = away <= max(0.6 * threshold * scale * np.sqrt(n + 1), 0.35 * abs(x[t] - level))
+                away = abs(x[t + n] - level)
                 far = np.all(np.abs(x[t : t + n] - level) > threshold * scale) and np.all(np.abs(x[t : t + n] - x[t + n]) > 0.6 * threshold * scale)
-                if near and far:
+                if far and away <= 0.6 * threshold * scale * np.sqrt(n + 1):  # back within the usual movement
                     back = n
                     break
+                if far and not most and away <= 0.35 * abs(x[t] - level):  # most of the way, if none is
+                    most = n
             if back:  # additive outlier: the level goes on underneath
                 spike[t : t + back] = True
                 x[t : t + back] = np.linspace(level, x[t + back], back + 2)[1:-1]
+            elif most:  # the next round tests the reading after it against the level
+                spike[t : t + most] = True
+                x[t : t + most] = level
             else:  # level shift
                 shifted[t] = True
             found = True
-            if back:
+            if back or most:
                 break
     return spike, x, scale
 

@@ -91,3 +91,11 @@ def test_a_long_series_keeps_all_its_spikes():
     x[at] += 1.0
     spike, _, _ = find_spikes(x, np.ones(4000, bool))
     assert np.flatnonzero(spike).tolist() == at.tolist()
+
+
+def test_neighbouring_spikes_of_unequal_size_are_all_found():
+    for patch in ([500, 100], [500, 80, 60], [500, 100, 100, 100]):
+        x = np.log(50) + np.cumsum(np.random.default_rng(7).normal(0, 0.003, 200))
+        x[100 : 100 + len(patch)] += np.log(np.array(patch) / 50)
+        spike, _, _ = find_spikes(x, np.ones(200, bool))
+        assert np.flatnonzero(spike).tolist() == list(range(100, 100 + len(patch)))
