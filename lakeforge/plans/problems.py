@@ -105,10 +105,13 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p6_fused(spark: SparkSession, folder: str) -> DataFrame:
-    """The status of each group by Bayesian fusion, for comparison with the rule of p6_found."""
-    rows = table(spark, folder, "trading_status").withColumn("status", F.nullif(F.lower(F.trim("status")), F.lit("")))
-    fused = fused_values(claims(rows, ["symbol", "trade_date"], ["status"]), ["symbol", "trade_date", "field_name"])
-    return fused.select("symbol", iso_date("trade_date").alias("trade_date"), "field_name", "value", F.round("posterior", 6).alias("posterior"))
+    """Every field of each group by Bayesian fusion, for comparison with the rule of p6_found; sources are judged over both tables."""
+    key = ["table_name", "symbol", "trade_date"]
+    bars = table(spark, folder, "daily_bars").withColumn("table_name", F.lit("daily_bars"))
+    status = table(spark, folder, "trading_status").withColumn("table_name", F.lit("trading_status")).withColumn("status", F.nullif(F.lower(F.trim("status")), F.lit("")))
+    stated = cut(claims(bars, key, PRICES).unionByName(claims(status, key, ["status"])))
+    fused = fused_values(stated, [*key, "field_name"])
+    return fused.select("table_name", "symbol", iso_date("trade_date").alias("trade_date"), "field_name", "value", F.round("posterior", 6).alias("posterior"))
 
 
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -129,3 +129,13 @@ def test_history_versions(spark):
     readings = snapshot_readings(df, "symbol", "trade_date", "status", spark.createDataFrame(TRUST, "source string, trust_rank int"))
     assert rows(versions(readings, "symbol", "trade_date", ["status"])) == [("A", "normal", day(1), day(4)), ("A", "normal", day(9), None), ("A", "st", day(4), day(9))]
     assert versions(readings.limit(0), "symbol", "trade_date", ["status"]).count() == 0
+
+
+def test_every_field_of_both_tables_is_fused(spark, tmp_path):
+    from lakeforge.plans.problems import PRICES, p6_fused
+
+    bars = [("A", day(1), s, at(1), *[v] * 6) for s, v in (("a", 1.0), ("b", 1.0), ("c", 2.0))]
+    spark.createDataFrame(bars, "symbol string, trade_date date, source string, fetched_at timestamp, " + ", ".join(f"{f} double" for f in PRICES)).write.parquet(f"{tmp_path}/daily_bars.parquet")
+    spark.createDataFrame([("A", day(1), "x", "a", "v1", at(1))], STATUS).write.parquet(f"{tmp_path}/trading_status.parquet")
+    want = [("daily_bars", f, "1.0") for f in PRICES] + [("trading_status", "status", "x")]
+    assert rows(p6_fused(spark, str(tmp_path)), "table_name", "field_name", "value") == sorted(want)
