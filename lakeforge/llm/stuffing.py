@@ -3,47 +3,51 @@
 Method: a suffix automaton is built over the tokens of each page.  Walking the page through it gives,
 for every position, the longest substring ending there that occurs at least ``min_repeats`` times, so the
 letters covered by repeated maximal substrings are known exactly, in time linear in the page.  A repeat
-counts as stuffing only where the text has no clause structure: sentences (terminated, with function words)
-also repeat phrases, but they are prose.  Links always count, since an address is no sentence.
+counts as stuffing only where clause structure is missing.  Links always count, since an address is no sentence.
+
+Clause structure is read off the page alone, without words of any language.  A unit (up to a terminator or line end)
+is a clause if it ends with a terminator, has the length of a sentence, is not set with list marks, and is not made of
+the few tokens that the whole page repeats in half of its units (function words take little room there, keywords most; a
+sentence said again and again has more of them, and stays one).
+
+Fenced blocks that are closed and hold code (punctuation among the words) are no stuffing, but count as text of the page.
 
 Defined results: null, empty and letter-free pages have share 0 and are never reported.  Repeated documents
 are judged one by one, so equal texts get equal verdicts.  Whole texts are read, however long: an automaton has at
-most two states a token, and pages beyond ``MAX_TOKENS`` tokens get one for each stretch.  Extra input columns are ignored.
+most two states a token; beyond ``AUTOMATON_TOKENS`` tokens the same coverage comes from a suffix array, which needs
+less memory.  Extra input columns are ignored.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeforge.llm.spread import spread
-
-#: Words and characters that mark clauses in English and Chinese prose.
-FUNCTION_WORDS = frozenset(
-    "a an the and or but of to in on at by for from with as is are was were be been has have had will would said "
-    "that which this these it its their they he she we you not no nothing than after before while because since "
-    "when once so if did does do can could should may over under during against within into per what why how who "
-    "between until only more most also there".split()
-)
-CLAUSE_CHARS = frozenset("的了与在为并对将和是其被从至以及而后由于未会各年月日不有这")
+from lakeforge.llm.spread import slices, spread
+from lakeforge.llm.text import TAG
 
-#: Pages of more tokens get several automata, one for each stretch of so many tokens, so that memory stays bounded.
-MAX_TOKENS = 200_000
+#: Pages of more tokens are covered by a suffix array instead of an automaton; both give the same coverage.
+AUTOMATON_TOKENS = 1_000_000
 
 _TOKEN = re.compile(
-    r"(?P<url>(?:https?:)?//[^\s)\"'<>\]]+|www\.[^\s)\"'<>\]]+)|(?P<tag><[^<>]{0,400}>)|(?P<code>\d{6}\.[A-Z]{2})|(?P<num>\d[\d.,:/-]*)"
-    r"|(?P<cjk>[㐀-鿿])|(?P<word>[^\W\d_]+)|(?P<nl>\n)|(?P<other>[^\w\s]|_)"
+    r"(?P<url>(?:https?:)?//[^\s)\"'<>\]]+|www\.[^\s)\"'<>\]]+)|(?P<tag>" + TAG + r")|(?P<code>\d{6}\.[A-Z]{2})|(?P<num>\d[\d.,:/-]*)"
+    r"|(?P<cjk>[㐀-鿿])|(?P<word>[^\W\d_]+(?:\.(?=[^\W_]))?)|(?P<nl>\n)|(?P<other>[^\w\s]|_)"
 )
 _SPLIT = re.compile(re.sub(r"\(\?P<\w+>", "(?:", _TOKEN.pattern))
 _KINDS = {k: i for i, k in enumerate(("url", "tag", "code", "num", "cjk", "word", "nl", "other"))}
 _URL, _TAG, _CODE, _NUM, _CJK, _WORD, _NL, _OTHER = range(8)
-_STOPS = frozenset(".!?。！？")
-_FENCE = re.compile(r"```.*?(?:```|\Z)", re.S)
+_STOPS = frozenset(".!?。！？…")
+_MARKS = frozenset("#|»›>·•")
+_FENCE = re.compile(r"^```.*?^```[^\S\n]*$", re.S | re.M)
+_CODE_MARKS = re.compile(r"[(){}\[\]=;<>*+_%$&,.'\"]")
+_WORDS = re.compile(r"[^\W\d_]+")
 _HREF = re.compile(r"""<a\s[^<>]*href\s*=\s*["']?([^"'<>\s]*)""", re.I)
 _BLOCK = re.compile(r"</?(?:p|div|li|ul|ol|br|h\d|tr|table|section|article|nav)\b", re.I)
 
@@ -98,6 +102,8 @@ def repeated_positions(tokens: list, min_repeats: int = 3) -> bytearray:
     covered = bytearray(len(tokens))
     if not tokens:
         return covered
+    if len(tokens) > AUTOMATON_TOKENS:
+        return covered_by_suffixes(tokens, min_repeats)
     length, link, count, at, order = suffix_automaton(tokens)
     # longest suffix of each state's strings that is repeated often enough; links point to shorter strings
     best = [0] * len(length)
@@ -113,6 +119,52 @@ def repeated_positions(tokens: list, min_repeats: int = 3) -> bytearray:
     return covered
 
 
+def covered_by_suffixes(tokens: list, min_repeats: int) -> bytearray:
+    """``repeated_positions`` from a suffix array (prefix doubling) and the common prefixes of its neighbours."""
+    n = len(tokens)
+    names = {t: i for i, t in enumerate(dict.fromkeys(tokens))}
+    text = np.fromiter((names[t] for t in tokens), np.int64, n)
+    rank, step = text + 1, 1
+    while True:
+        after = np.zeros(n, np.int64)
+        after[: n - step] = rank[step:]
+        key = rank * (int(rank.max()) + 1) + after
+        order = np.argsort(key, kind="stable")
+        new = np.ones(n, np.int64)
+        new[1:] = key[order][1:] != key[order][:-1]
+        rank = np.empty(n, np.int64)
+        rank[order] = np.cumsum(new)
+        step *= 2
+        if rank[order[-1]] == n or step >= n:
+            break
+    place, suffix, plain = (rank - 1).tolist(), order.tolist(), text.tolist()
+    common, h = [0] * n, 0
+    for i in range(n):
+        r = place[i]
+        if r:
+            j = suffix[r - 1]
+            while i + h < n and j + h < n and plain[i + h] == plain[j + h]:
+                h += 1
+            common[r] = h
+            h -= h > 0
+        else:
+            h = 0
+    lcp = np.array(common, np.int64)
+    best = np.zeros(n, np.int64)
+    if min_repeats <= 1:
+        return bytearray(b"\1" * n)
+    # the least of min_repeats - 1 neighbouring prefixes is shared by min_repeats suffixes in a row
+    shared = lcp[1:].copy()
+    for k in range(1, min_repeats - 1):
+        shared = np.minimum(shared[:-1], lcp[1 + k :][: len(shared) - 1])
+    for k in range(min_repeats):  # suffixes first .. first + min_repeats - 1 hold it
+        best[k : k + len(shared)] = np.maximum(best[k : k + len(shared)], shared)
+    edge = np.zeros(n + 1, np.int64)
+    np.add.at(edge, order, best > 0)
+    np.add.at(edge, np.minimum(order + best, n), -(best > 0).astype(np.int64))
+    return bytearray((np.cumsum(edge[:n]) > 0).astype(np.uint8).tobytes())
+
+
 #: What a token is, by its text: kind, key in the automaton, size and lower-cased word.  Emptied when it grows too large.
 _KNOWN: dict[str, tuple[int, str, int, str]] = {}
 _MOST_KNOWN = 500_000
@@ -152,14 +204,31 @@ def tokens_of(text: str) -> list[tuple[int, str, int, str]]:
     return [known(s) or _token(s) for s in _SPLIT.findall(text)]
 
 
-def page_profile(text: str | None, min_repeats: int = 3, max_clause_words: int = 60) -> tuple[int, int]:
-    """(visible characters of the page, those of stuffing, links and tags).  Fenced code is left out of both."""
+def _without_code(text: str) -> tuple[str, int]:
+    """The text without closed fences that hold code, and the visible characters of these."""
+    if "```" not in text:
+        return text, 0
+    hidden = 0
+
+    def drop(m: re.Match) -> str:
+        nonlocal hidden
+        body = m.group().strip("`")
+        if len(_CODE_MARKS.findall(body)) * 4 < len(_WORDS.findall(body)):
+            return body
+        hidden += sum(len(x) for x in body.split())
+        return "\n"
+
+    return _FENCE.sub(drop, text), hidden
+
+
+def page_profile(text: str | None, min_repeats: int = 3, max_clause_words: int = 60, spread_over: float = 0.5, least_units: int = 8, most_keywords: int = 8) -> tuple[int, int]:
+    """(visible characters of the page, those of stuffing, links and tags)."""
     if not text:
         return 0, 0
-    text = _FENCE.sub("\n", html.unescape(text))
+    text, total = _without_code(html.unescape(text))
     toks = tokens_of(text)
     if not toks:
-        return 0, 0
+        return total, 0
     kind, seq, size, word = zip(*toks)
     linked: list[int] | bytes = bytes(len(toks))
     if "<a>" in seq:
@@ -168,25 +237,60 @@ def page_profile(text: str | None, min_repeats: int = 3, max_clause_words: int =
             if k == _TAG and w in ("<a>", "</a"):
                 inside = int(w == "<a>")
             linked.append(inside)
-    total = sum(size)
-    if not total:
-        return 0, 0
-    covered = bytearray()
-    for s in range(0, len(seq), MAX_TOKENS):
-        covered += repeated_positions(seq[s : s + MAX_TOKENS], min_repeats)
-    bad = start = 0
+    total += sum(size)
+    units: list[tuple[int, int, bool]] = []
+    start = 0
     for i in range(len(seq) + 1):
         stop = i < len(seq) and kind[i] == _OTHER and word[i] in _STOPS
         if i == len(seq) or stop or kind[i] == _NL:
             if i > start:
-                bad += _stuffed(range(start, i), kind, word, size, covered, linked, stop, max_clause_words)
+                units.append((start, i, stop))
             start = i + 1
+    everywhere: set[str] = set()
+    if len(units) >= least_units:
+        held = Counter()
+        for a, b, _ in units:
+            held.update(set(seq[a:b]))
+        everywhere = {t for t, n in held.items() if n >= spread_over * len(units)}
+        if len(everywhere) > most_keywords:
+            everywhere = set()
+    bad, listed = 0, []
+    for a, b, stop in units:
+        links, prose = _clause(range(a, b), kind, seq, word, size, linked, everywhere, stop, max_clause_words)
+        if prose:
+            bad += links
+        else:
+            listed.append((a, b))
+    if listed:  # what repeats do matters only where clauses are missing
+        covered = repeated_positions(seq, min_repeats)
+        bad += sum(_stuffed(range(a, b), kind, size, covered, linked) for a, b in listed)
     return total, bad
 
 
-def _stuffed(span: range, kind, word, size, covered, linked, stopped: bool, max_clause_words: int) -> int:
-    """Characters of one unit (up to a terminator or line end) that are stuffing, links or tags."""
-    words = cjk = functions = clause = links = letters = repeated = marks = chars = 0
+def _clause(span: range, kind, seq, word, size, linked, everywhere: set[str], stopped: bool, max_clause_words: int) -> tuple[int, bool]:
+    """Characters of the unit's links, and whether it is a clause."""
+    words = cjk = links = marks = letters = common = 0
+    for j in span:
+        k = kind[j]
+        if k == _URL or k == _TAG or linked[j]:
+            links += size[j]
+        elif k == _WORD or k == _CJK:
+            letters += size[j]
+            if seq[j] in everywhere:
+                common += size[j]
+        if k == _WORD:
+            words += 1
+        elif k == _CJK:
+            cjk += 1
+        elif k == _OTHER and word[j] in _MARKS:
+            marks += 1
+    long_enough = 4 <= words <= max_clause_words if words >= cjk else 6 <= cjk <= 2 * max_clause_words
+    return links, stopped and long_enough and marks * 4 <= words + cjk / 2 and common * 4 < 3 * letters
+
+
+def _stuffed(span: range, kind, size, covered, linked) -> int:
+    """Characters of a unit without clause structure that are repeats, links or tags."""
+    links = letters = repeated = chars = 0
     for j in span:
         k, n = kind[j], size[j]
         chars += n
@@ -196,32 +300,18 @@ def _stuffed(span: range, kind, word, size, covered, linked, stopped: bool, max_
             letters += n
             if covered[j]:
                 repeated += n
-        if k == _WORD:
-            words += 1
-            functions += word[j] in FUNCTION_WORDS
-        elif k == _CJK:
-            cjk += 1
-            clause += word[j] in CLAUSE_CHARS
-        elif k == _OTHER and word[j] in "#|»›>·•":
-            marks += 1
-    if words >= cjk:
-        prose = 4 <= words <= max_clause_words and functions >= max(1, (0.12 if stopped else 0.2) * words)
-    else:
-        prose = 6 <= cjk <= 2 * max_clause_words and clause >= max(1, 0.03 * cjk)
-    if marks * 4 > words + cjk / 2:
-        prose = False
-    if prose or not letters + links:
-        return links
+    if not letters + links:
+        return 0
     if repeated * 4 >= letters > 0 or links * 2 >= chars:
         return chars
     return links + repeated
 
 
 def stuffing_shares(documents: DataFrame, min_repeats: int = 3) -> DataFrame:
-    """doc_id, n_chars, stuffed_chars and stuffed_share of every document; no shuffle, one pass, bounded by one page."""
+    """doc_id, n_chars, stuffed_chars and stuffed_share of every document in one pass; ``spread`` moves a small table first."""
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, 1):
             found = [page_profile(t, min_repeats) for t in b.column(1).to_pylist()]
             total = pa.array([t for t, _ in found], pa.int64())
             bad = pa.array([x for _, x in found], pa.int64())
