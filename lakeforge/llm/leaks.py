@@ -1,19 +1,24 @@
 """Evaluation items leaking into a corpus (problem 9).
 
-Method: pigeonhole edit matching.  Each item's text, reduced to its letters and digits, is cut into pieces.
-A window of ``budget + 1`` consecutive pieces that occurs in a document with at most ``budget`` edits must
-contain one piece unchanged, so exact hits of pieces (Aho-Corasick) are a complete candidate search.  Every
-candidate window is verified with Myers' bit-parallel edit distance, here run over thousands of candidates
-at once (one 64-bit word each).  Around the verified windows an exact check adds the shorter stretches left
+Method: pigeonhole edit matching.  Each item's text, reduced to its letters and digits, is cut into pieces of equal
+length.  A window of ``budget + 1`` consecutive pieces that occurs in a document with at most ``budget`` edits must
+contain one piece unchanged, so exact hits of pieces are a complete candidate search.  (A case is a third of an item, so
+windows of the item are searched rather than the whole item; an item of fewer pieces is one window with one edit less
+than it has pieces.)  Every candidate window is verified with Myers' bit-parallel edit distance, here run over thousands
+of candidates at once, one 64-bit word each.  Around the verified windows an exact check adds the shorter stretches left
 between changed words; windows and stretches together are the part of the item that the document holds.
 
-Pieces that several items share are boilerplate: they neither find nor count.  An item of nothing but
-boilerplate is matched as a whole item instead.  No candidate is capped, and whole texts are read.
+Exact hits come from rolling hashes of the document's letters, looked up in the sorted hashes of the pieces; equal hashes
+of different pieces only cost a verification.  No candidate is capped, and whole texts are read.
 
-Defined results: null, empty and symbol-only texts hold no item; null, empty and too short items (less than
-``min_chars`` letters) are never found; equal documents get equal rows; every (doc_id, item_id) comes once.
-Items are a held-out set that does not grow with the corpus; ``max_item_chars`` is checked before they are
-sent to the workers, and larger sets are searched in as many passes as needed.
+Text that stands in ``boilerplate_items`` different items or more is boilerplate: it neither finds nor counts.  An item of
+little else is matched as a whole item instead.
+
+Defined results: null, empty and symbol-only texts hold no item; null and empty items are never found; items shorter than
+two pieces are found where their words stand in a row, whole; equal documents get equal rows; items of equal letters are
+found together; every (doc_id, item_id) comes once.
+Items are a held-out set that does not grow with the corpus: ``max_item_chars`` is checked before they are sent to the
+workers, and larger sets are searched in as many passes as needed.
 """
 
 from __future__ import annotations
@@ -32,148 +37,181 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeforge.llm.spread import spread
+from lakeforge.llm.spread import slices, spread
+from lakeforge.llm.text import without_tags
 
-_TAG = re.compile(r"<[^<>]{0,400}>")
 _DROP = re.compile(r"[\W_]+")
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_MIX = np.uint64(0xD6E8FEB86659FD93)
+
+
+def plain(text: str | None) -> str:
+    """One case, one width, without markup."""
+    return unicodedata.normalize("NFKC", without_tags(html.unescape(text))).casefold() if text else ""
 
 
 def letters(text: str | None) -> str:
     """Letters and digits only, one case, one width; markup, punctuation, spaces and line breaks are gone."""
-    if not text:
-        return ""
-    t = html.unescape(_TAG.sub(" ", text))
-    return _DROP.sub("", unicodedata.normalize("NFKC", t).casefold())
+    return _DROP.sub("", plain(text))
 
 
 def is_cjk(text: str) -> bool:
     return sum("㐀" <= c <= "鿿" for c in text) * 3 > len(text)
 
 
+def codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
+
+
+def grams(of: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of all stretches of ``n`` codes."""
+    if len(of) < n:
+        return np.zeros(0, np.uint64)
+    h = np.zeros(len(of) - n + 1, np.uint64)
+    for j in range(n):
+        h *= _BASE
+        h += of[j : len(of) - n + 1 + j]
+    h ^= h >> np.uint64(29)
+    h *= _MIX
+    return h ^ (h >> np.uint64(32))
+
+
 class ItemIndex:
-    """Pieces, windows and bit masks of a set of items."""
+    """Pieces and windows of a set of items; every array is as long as the items' letters at most."""
 
-    def __init__(self, items: Iterable[tuple[int, str]], budget: int = 2, piece_latin: int = 12, piece_cjk: int = 6, min_chars: int = 24):
-        self.budget = budget
-        self.items: list[int] = []
-        texts: list[str] = []
-        size: list[int] = []
+    def __init__(self, items: Iterable[tuple[int, str]], budget: int = 2, piece_latin: int = 12, piece_cjk: int = 6, boilerplate_items: int = 5):
+        if (budget + 2) * max(piece_latin, piece_cjk) - 1 > 64:
+            raise ValueError("a window must fit one 64-bit word: take a smaller budget or smaller pieces")
+        ids: dict[str, list[int]] = defaultdict(list)
+        short: dict[str, tuple[list[int], str]] = {}
+        self.sizes = sorted({piece_latin, piece_cjk})
         for i, text in items:
             t = letters(text)
-            if len(t) >= min_chars:
-                self.items.append(i)
-                texts.append(t)
-                size.append(piece_cjk if is_cjk(t) else piece_latin)
-        self.length = np.array([len(t) for t in texts] or [0], np.int64)
-        self.texts, self.size = texts, size
-        shared = self._shared(texts, size)
-        pieces: dict[str, list[int]] = defaultdict(list)
-        self.own = [np.ones(len(t), bool) for t in texts]
-        w_item, w_start, w_len = [], [], []
-        piece_windows: list[list[int]] = []
-        piece_at: list[int] = []
-        for n, (t, g) in enumerate(zip(texts, size)):
-            for a, b in shared[n]:
-                self.own[n][a:b] = False
-            if self.own[n].sum() < min_chars:
-                self.own[n][:] = True
-            starts = list(range(0, len(t) - g + 1, g))
-            ends = [s + g for s in starts[:-1]] + [len(t)]
-            of_piece: list[list[int]] = [[] for _ in starts]
-            k = min(budget + 1, len(starts))
-            for s in range(len(starts) - k + 1):
-                a, b = starts[s], ends[s + k - 1]
-                if self.own[n][a:b].mean() < 0.5:
-                    continue
-                w = len(w_item)
-                w_item.append(n)
-                w_start.append(a)
-                w_len.append(b - a)
-                for x in range(s, s + k):
-                    of_piece[x].append(w)
-            for x, (a, b) in enumerate(zip(starts, ends)):
-                if of_piece[x]:
-                    pieces[t[a:b]].append(len(piece_at))
-                    piece_at.append(a)
-                    piece_windows.append(of_piece[x])
-        if max(w_len, default=0) > 64:
-            raise ValueError("a window must fit one 64-bit word: take a smaller budget or smaller pieces")
-        self.w_item = np.array(w_item, np.int64)
-        self.w_start = np.array(w_start, np.int64)
-        self.w_len = np.array(w_len, np.int64)
-        self.p_windows = [np.array(x, np.int64) for x in piece_windows]
-        self.p_offset = [self.w_start[x] - a for x, a in zip(self.p_windows, piece_at)]  # of the window before the piece
-        self.words = list(pieces)
-        # the windows of each word's pieces, one after the other, and where they start before the hit
-        of_word = [(w, o) for word in self.words for p in pieces[word] for w, o in zip(self.p_windows[p].tolist(), self.p_offset[p].tolist())]
-        self.flat = np.array(of_word, np.int64).reshape(-1, 2)
-        self.first = np.concatenate(([0], np.cumsum([sum(len(self.p_windows[p]) for p in pieces[w]) for w in self.words]))).astype(np.int64)
-        alphabet = sorted(set("".join(texts)))
-        self.code = np.zeros(0x110000, np.uint16)
-        self.code[[ord(c) for c in alphabet]] = np.arange(1, len(alphabet) + 1)
-        self.alphabet = np.array([0, *map(ord, alphabet)], np.uint32)
-        self.masks = np.zeros((len(w_item), len(alphabet) + 1), np.uint64)
-        for w, (n, a, m) in enumerate(zip(w_item, w_start, w_len)):
-            for j, c in enumerate(self.encode(texts[n][a : a + m])):
-                self.masks[w, c] |= np.uint64(1) << np.uint64(j)
-        self.masks[:, 0] = 0
-        self.automaton = ahocorasick.Automaton()
-        for x, w in enumerate(self.words):
-            self.automaton.add_word(w, (x, len(w)))
-        if self.words:
-            self.automaton.make_automaton()
-
-    @staticmethod
-    def _shared(texts: list[str], size: list[int]) -> list[list[tuple[int, int]]]:
-        """Stretches (of three pieces or more) that also stand in another item."""
-        seen: dict[str, int] = {}
-        for n, (t, g) in enumerate(zip(texts, size)):
-            for s in range(len(t) - 2 * g + 1):
-                w = t[s : s + 2 * g]
-                seen[w] = n if seen.get(w, n) == n else -1
-        out = []
-        for t, g in zip(texts, size):
-            runs: list[tuple[int, int]] = []
-            for s in range(len(t) - 2 * g + 1):
-                if seen[t[s : s + 2 * g]] == -1:
-                    if runs and s <= runs[-1][1]:
-                        runs[-1] = (runs[-1][0], s + 2 * g)
-                    else:
-                        runs.append((s, s + 2 * g))
-            same = len(set(texts)) < len(texts) and texts.count(t) > 1
-            out.append([] if same else [r for r in runs if r[1] - r[0] >= 3 * g])
-        return out
-
-    def encode(self, text: str) -> np.ndarray:
-        return self.code[np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)]
-
-    def hits(self, text: str) -> list[tuple[int, int]]:
-        """Words that occur and where."""
-        return [(x, end - n + 1) for end, (x, n) in self.automaton.iter(text)] if self.words else []
-
-    def candidates(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        found = np.array(self.hits(text), np.int64).reshape(-1, 2)
-        win, at, _ = self._expand_owned(found, np.zeros(len(found), np.int64))
-        return win, at
-
-    def verify(self, win: np.ndarray, at: np.ndarray, doc: np.ndarray, base: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        """Which windows occur within the budget in doc[at - budget : at + length + budget], clipped to [base, stop)."""
-        k = self.budget
-        m = self.w_len[win]
-        lo = np.maximum(at - k, base)
-        hi = np.minimum(at + m + k, stop)
+            g = piece_cjk if is_cjk(t) else piece_latin
+            if len(t) >= 2 * g:
+                ids[t].append(i)
+            elif t:
+                short.setdefault(t, ([], plain(text)))[0].append(i)
+        self.texts, self.ids = list(ids), list(ids.values())
+        self.size = [piece_cjk if is_cjk(t) else piece_latin for t in self.texts]
+        self._short(short)
+        self.start = np.concatenate(([0], np.cumsum([len(t) for t in self.texts]))).astype(np.int64)
+        self.code = codes("".join(self.texts)) if self.texts else np.zeros(0, np.uint32)
+        self.own = self._own(boilerplate_items)
+        self.own_letters = [int(self.own[a:b].sum()) for a, b in zip(self.start, self.start[1:])]
+        self._windows(budget)
+
+    def _short(self, short: dict[str, tuple[list[int], str]]) -> None:
+        """Items of less than two pieces: exact search of the letters, then their words in a row in the text."""
+        self.short = ahocorasick.Automaton()
+        for t, (ids, text) in short.items():
+            # Chinese characters may stand apart or together, words may not be joined
+            words = re.findall(r"[㐀-鿿]|[^\W_㐀-鿿]+", text)
+            exact = "(?<!\\w)" * (not is_cjk(words[0]))
+            for w, after in zip(words, [*words[1:], ""]):
+                exact += re.escape(w) + ("" if not after else "[\\W_]*" if is_cjk(w) or is_cjk(after) else "[\\W_]+")
+            self.short.add_word(t, (t, ids, re.compile(exact + "(?!\\w)" * (not is_cjk(words[-1])))))
+        if short:
+            self.short.make_automaton()
+        self.has_short = bool(short)
+
+    def _own(self, least: int) -> np.ndarray:
+        """Which letters are no boilerplate.  Hashes of stretches of two pieces are counted, once an item."""
+        own = np.ones(len(self.code), bool)
+        for g in self.sizes:
+            held = [n for n, x in enumerate(self.size) if x == g]
+            hashes = [grams(self.code[self.start[n] : self.start[n + 1]], 2 * g) for n in held]
+            if not hashes:
+                continue
+            each, times = np.unique(np.concatenate([np.unique(h) for h in hashes]), return_counts=True)
+            shared = each[times >= least]
+            if not len(shared):
+                continue
+            for n, h in zip(held, hashes):
+                at = np.flatnonzero(shared[np.minimum(np.searchsorted(shared, h), len(shared) - 1)] == h)
+                edge = np.zeros(len(self.texts[n]) + 1, np.int64)
+                np.add.at(edge, at, 1)
+                np.add.at(edge, at + 2 * g, -1)
+                mark = np.cumsum(edge[:-1]) > 0
+                # stretches of less than three pieces may be chance, such as a common phrase
+                turn = np.flatnonzero(np.diff(np.concatenate(([0], mark.view(np.int8), [0]))))
+                for a, b in zip(turn[::2], turn[1::2]):
+                    if b - a < 3 * g:
+                        mark[a:b] = False
+                if (~mark).sum() >= 2 * g:
+                    own[self.start[n] : self.start[n + 1]] = ~mark
+        return own
+
+    def _windows(self, budget: int) -> None:
+        w_item, w_start, w_len, w_budget, p_hash, p_window, p_offset = ([] for _ in range(7))
+        made = 0
+        for n, g in enumerate(self.size):
+            a, b = int(self.start[n]), int(self.start[n + 1])
+            q = (b - a) // g
+            k = min(budget + 1, q)
+            s = np.arange(q - k + 1)
+            length = np.full(len(s), k * g)
+            length[-1] += (b - a) - q * g  # what is left belongs to the last window
+            known = np.concatenate(([0], np.cumsum(self.own[a:b])))
+            s, length = (x[(known[s * g + length] - known[s * g]) * 2 >= length] for x in (s, length))
+            piece = grams(self.code[a : a + q * g], g)[::g]
+            w_item.append(np.full(len(s), n)), w_start.append(a + s * g), w_len.append(length), w_budget.append(np.full(len(s), k - 1))
+            for x in range(k):
+                p_hash.append(piece[s + x]), p_window.append(made + np.arange(len(s))), p_offset.append(np.full(len(s), x * g))
+            made += len(s)
+        join = lambda xs, kind: np.concatenate(xs).astype(kind) if xs else np.zeros(0, kind)
+        self.w_item, self.w_start, self.w_len, self.w_budget = join(w_item, np.int32), join(w_start, np.int64), join(w_len, np.int64), join(w_budget, np.int64)
+        h = join(p_hash, np.uint64)
+        order = np.argsort(h, kind="stable")
+        self.flat_window, self.flat_offset = join(p_window, np.int64)[order], join(p_offset, np.int64)[order]
+        self.hashes, first = np.unique(h[order], return_index=True)
+        self.first = np.append(first, len(h)).astype(np.int64)
+        self.bits = max(16, int(len(self.hashes) * 16).bit_length())
+        self.maybe = np.zeros(1 << self.bits, bool)
+        self.maybe[self.hashes >> np.uint64(64 - self.bits)] = True
+
+    def hits(self, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Windows whose piece occurs, and where the window would start."""
+        wins, ats = [], []
+        for g in self.sizes if len(self.hashes) else ():
+            h = grams(doc, g)
+            at = np.flatnonzero(self.maybe[h >> np.uint64(64 - self.bits)])
+            h = h[at]
+            x = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+            same = self.hashes[x] == h
+            x, at = x[same], at[same]
+            n = self.first[x + 1] - self.first[x]
+            flat = np.repeat(self.first[x] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum()) if len(x) else np.zeros(0, np.int64)
+            wins.append(self.flat_window[flat]), ats.append(np.repeat(at, n) - self.flat_offset[flat])
+        if not wins:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        win, at = np.concatenate(wins), np.concatenate(ats)
+        order = np.lexsort((at, win))
+        win, at = win[order], at[order]
+        new = np.ones(len(win), bool)
+        new[1:] = (win[1:] != win[:-1]) | (at[1:] != at[:-1])
+        return win[new], at[new]
+
+    def verify(self, win: np.ndarray, at: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        """Which windows occur within their budget in doc[at - budget : at + length + budget].
+
+        Myers' algorithm, one candidate a word.  The bits where a pattern has the text's letter are compared anew for
+        each letter, so no table of patterns and letters is kept."""
+        m, k = self.w_len[win], self.w_budget[win]
+        pattern = np.zeros((len(win), 64), np.uint32)
+        inside = np.arange(64) < m[:, None]
+        pattern[inside] = self.code[(self.w_start[win][:, None] + np.arange(64))[inside]]
+        lo, hi = np.maximum(at - k, 0), np.minimum(at + m + k, len(doc))
         one = np.uint64(1)
         top = one << (m - 1).astype(np.uint64)
         pv = np.full(len(win), ~np.uint64(0))
         mv = np.zeros(len(win), np.uint64)
-        score = m.copy()
-        best = m.copy()
-        padded = np.append(doc, 0)
+        score, best = m.copy(), m.copy()
         for j in range(int((hi - lo).max(initial=0))):
             pos = lo + j
             live = pos < hi
-            c = padded[np.where(live, pos, len(doc))]
-            eq = np.where(live, self.masks[win, c], 0)
+            c = np.where(live, doc[np.minimum(pos, len(doc) - 1)], 0)
+            eq = np.packbits((pattern == c[:, None]) & (c != 0)[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
             xv = eq | mv
             xh = (((eq & pv) + pv) ^ pv) | eq
             ph = mv | ~(xh | pv)
@@ -186,77 +224,59 @@ class ItemIndex:
             best = np.where(live, np.minimum(best, score), best)
         return best <= k
 
-    def shares(self, texts: list[str | None], block: int = 100_000) -> Iterator[tuple[int, int, float]]:
+    def shares(self, texts: list[str | None], block: int = 20_000) -> Iterator[tuple[int, int, float]]:
         """(index of the text, item, share of the item's own letters found)."""
-        docs: list[np.ndarray] = []
-        of: list[int] = []
-        found: list[tuple[int, int]] = []
-        offset = 0
-        for i, raw in enumerate(texts):
-            t = letters(raw)
-            if hits := self.hits(t):
-                found += [(x, s + offset) for x, s in hits]
-                docs.append(self.encode(t))
-                of.append(i)
-                offset += len(t)
-            if len(found) >= block:
-                yield from self._searched(docs, of, found)
-                docs, of, found, offset = [], [], [], 0
-        if found:
-            yield from self._searched(docs, of, found)
-
-    def _searched(self, docs: list[np.ndarray], of: list[int], found: list[tuple[int, int]], block: int = 200_000) -> Iterator[tuple[int, int, float]]:
-        ends = np.cumsum([len(d) for d in docs])
-        pair = np.array(found, np.int64)
-        # a window may start before its document, but its hit lies inside: the document is that of the hit
-        owner = np.searchsorted(ends, pair[:, 1], side="right")
-        text = np.concatenate(docs)
-        win, at, own = self._expand_owned(pair, owner)
-        yield from self._found(win, at, np.array(of)[own], np.concatenate(([0], ends[:-1]))[own], ends[own], text, block)
-
-    def _expand_owned(self, pair: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Windows of the hits, where they would start, and their document; each triple once."""
-        n = self.first[pair[:, 0] + 1] - self.first[pair[:, 0]]
-        at = np.repeat(self.first[pair[:, 0]] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-        win, start, own = self.flat[at, 0], self.flat[at, 1] + np.repeat(pair[:, 1], n), np.repeat(owner, n)
-        order = np.lexsort((start, win, own))
-        win, start, own = win[order], start[order], own[order]
-        new = np.ones(len(win), bool)
-        new[1:] = (win[1:] != win[:-1]) | (start[1:] != start[:-1]) | (own[1:] != own[:-1])
-        return win[new], start[new], own[new]
-
-    def _found(self, win, at, of, base, stop, doc, block: int) -> Iterator[tuple[int, int, float]]:
-        ok = np.concatenate([self.verify(win[s : s + block], at[s : s + block], doc, base[s : s + block], stop[s : s + block]) for s in range(0, len(win), block)])
-        held: dict[tuple[int, int], set[tuple[int, int, int, int]]] = defaultdict(set)
-        for i, w, a, lo, hi in zip(*(x[ok].tolist() for x in (of, win, at, base, stop))):
-            held[i, int(self.w_item[w])].add((w, a, lo, hi))
-        for (i, n), hits in held.items():
-            mark = np.zeros(int(self.length[n]), bool)
-            reach = int(self.length[n])
-            spans: list[list[int]] = []
-            for w, a, lo, hi in sorted(hits, key=lambda h: h[1]):
-                mark[self.w_start[w] : self.w_start[w] + self.w_len[w]] = True
-                x, y = max(lo, a - reach), min(hi, a + reach)
-                if spans and x <= spans[-1][1]:
-                    spans[-1][1] = max(y, spans[-1][1])
-                else:
-                    spans.append([x, y])
-            self._extend(n, [doc[x:y] for x, y in spans], mark)
-            yield i, self.items[n], float((mark & self.own[n]).sum() / self.own[n].sum())
-
-    def _extend(self, n: int, around: list[np.ndarray], mark: np.ndarray) -> None:
-        """Exact check after a verified window: marks what else of the item stands unchanged around the windows."""
+        flat = [plain(t) for t in texts]
+        kept = [_DROP.sub("", t) for t in flat]
+        if self.has_short:
+            yield from self._short_found(flat, kept)
+        text = "\0".join(kept)  # no piece holds the separator
+        doc = codes(text)
+        win, at = self.hits(doc)
+        if not len(win):
+            return
+        ok = np.concatenate([self.verify(win[s : s + block], at[s : s + block], doc) for s in range(0, len(win), block)])
+        win, at = win[ok], at[ok]
+        ends = np.cumsum([len(t) + 1 for t in kept])
+        # a window may start or end beyond its document by its edits; its middle lies inside
+        own = np.searchsorted(ends, np.maximum(at + self.w_len[win] // 2, 0), side="right")
+        held: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
+        for i, n, w, a in zip(own.tolist(), self.w_item[win].tolist(), win.tolist(), at.tolist()):
+            held[i, n].append((a, w))
+        for (i, n), found in held.items():
+            if i >= len(kept):
+                continue
+            share = self._share(n, found, text, int(ends[i]) - 1 - len(kept[i]), int(ends[i]) - 1)
+            for item in self.ids[n]:
+                yield i, item, share
+
+    def _short_found(self, flat: list[str], kept: list[str]) -> Iterator[tuple[int, int, float]]:
+        for i, t in enumerate(kept):
+            for word, ids, exact in {v[0]: v for _, v in self.short.iter(t)}.values():
+                if exact.search(flat[i]):
+                    for item in ids:
+                        yield i, item, 1.0
+
+    def _share(self, n: int, found: list[tuple[int, int]], text: str, lo: int, hi: int) -> float:
+        a, b = int(self.start[n]), int(self.start[n + 1])
+        mark = np.zeros(b - a, bool)
+        spans: list[list[int]] = []
+        for at, w in sorted(found):
+            s = int(self.w_start[w]) - a
+            mark[s : s + int(self.w_len[w])] = True
+            x, y = max(lo, at - (b - a)), min(hi, at + (b - a))
+            if spans and x <= spans[-1][1]:
+                spans[-1][1] = max(y, spans[-1][1])
+            else:
+                spans.append([x, y])
+        # exact check after a verified window: what else of the item stands unchanged around the windows
         t, g = self.texts[n], self.size[n] * 2 // 3
-        near = set()
-        for part in around:
-            s = self.letters_of(part)
-            near.update(s[x : x + g] for x in range(len(s) - g + 1))
-        for x in range(len(t) - g + 1):
-            if t[x : x + g] in near:
-                mark[x : x + g] = True
-
-    def letters_of(self, codes: np.ndarray) -> str:
-        return self.alphabet[codes].tobytes().decode("utf-32-le")
+        near = {text[p : p + g] for x, y in spans for p in range(x, y - g + 1)}
+        for p in range(len(t) - g + 1):
+            if t[p : p + g] in near:
+                mark[p : p + g] = True
+        own = self.own[a:b]
+        return float((mark & own).sum() / self.own_letters[n])
 
 
 _BUILT: dict[str, ItemIndex] = {}
@@ -270,8 +290,9 @@ def built_index(name: str, build: Callable[[], ItemIndex]) -> ItemIndex:
     return _BUILT[name]
 
 
-def leak_shares(documents: DataFrame, items: DataFrame, budget: int = 2, piece_latin: int = 12, piece_cjk: int = 6, max_item_chars: int = 20_000_000) -> DataFrame:
-    """doc_id, item_id, share of every document that holds some window of an item.  One pass over the corpus, no shuffle."""
+def leak_shares(documents: DataFrame, items: DataFrame, max_item_chars: int = 4_000_000, **how) -> DataFrame:
+    """doc_id, item_id, share of every document that holds some window of an item.  One pass over the corpus (for each
+    ``max_item_chars`` of items); ``spread`` moves a small table first."""
     rows = items.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null")
     total = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
     passes = max(1, -(-total // max_item_chars))
@@ -279,24 +300,23 @@ def leak_shares(documents: DataFrame, items: DataFrame, budget: int = 2, piece_l
     out = []
     for p in range(passes):
         part = [(r.item_id, r.text) for r in rows.where(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == p).distinct().orderBy("item_id", "text").toLocalIterator()]
-        out.append(_search(docs, part, budget, piece_latin, piece_cjk))
+        out.append(_search(docs, part, how))
     return reduce(DataFrame.unionByName, out)
 
 
-def _search(docs: DataFrame, part: list[tuple[int, str]], budget: int, piece_latin: int, piece_cjk: int) -> DataFrame:
+def _search(docs: DataFrame, part: list[tuple[int, str]], how: dict) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(part)
     name = uuid.uuid4().hex
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = built_index(name, lambda: ItemIndex(sent.value, budget, piece_latin, piece_cjk))
-        for b in batches:
+        index = built_index(name, lambda: ItemIndex(sent.value, **how))
+        for b in slices(batches, 1):
             ids = b.column(0).to_pylist()
-            for s in range(0, len(ids), 500):
-                found = list(index.shares(b.column(1).slice(s, 500).to_pylist()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([ids[s + i] for i, _, _ in found], pa.int64()), pa.array([n for _, n, _ in found], pa.int64()), pa.array([x for _, _, x in found], pa.float64())],
-                    ["doc_id", "item_id", "share"],
-                )
+            found = list(index.shares(b.column(1).to_pylist()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([ids[i] for i, _, _ in found], pa.int64()), pa.array([n for _, n, _ in found], pa.int64()), pa.array([x for _, _, x in found], pa.float64())],
+                ["doc_id", "item_id", "share"],
+            )
 
     return docs.mapInArrow(search, "doc_id bigint, item_id bigint, share double")
 
