@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeforge.llm.spread import spread
+from lakeforge.llm.spread import slices, spread
 
 DEFAULT_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the pretokens of this family of vocabularies.
@@ -39,8 +39,9 @@ PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!
 class MergeList:
     """Ranks of the tokens and what follows from them."""
 
-    def __init__(self, path: str):
-        self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in Path(path).read_bytes().splitlines() if line)}
+    def __init__(self, vocabulary: str | bytes):
+        data = Path(vocabulary).read_bytes() if isinstance(vocabulary, str) else vocabulary
+        self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in data.splitlines() if line)}
         self.tokens = {r: t for t, r in self.ranks.items()}
         self.lookahead = max(map(len, self.ranks)) - 1
         self.inner = {a << 8 | b for t in self.ranks for a, b in zip(t, t[1:])}
@@ -253,25 +254,26 @@ class Decoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(vocabulary: bytes) -> Encoder:
     """One for each worker process."""
-    return Encoder(path)
+    return Encoder(vocabulary)
 
 
 def encode_corpus(documents: DataFrame, vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
-    """doc_id and ids of every document; no shuffle of its own, memory bounded by one batch."""
+    """doc_id and ids of every document; ``spread`` moves a small table first, memory is bounded by a slice of a batch.
+
+    The vocabulary is a file of the driver and is sent to the workers (one file of a few megabytes at most)."""
+    sent = documents.sparkSession.sparkContext.broadcast(Path(vocabulary).read_bytes())
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = encoder(vocabulary)
-        for b in batches:
-            for s in range(0, b.num_rows, 256):
-                part = b.slice(s, 256)
-                lists = [e.encode(t) for t in part.column(1).to_pylist()]
-                offsets = np.zeros(len(lists) + 1, np.int32)
-                np.cumsum([len(x) for x in lists], out=offsets[1:])
-                flat = np.fromiter((t for x in lists for t in x), np.int32, int(offsets[-1]))
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([part.column(0), ids], ["doc_id", "ids"])
+        e = encoder(sent.value)
+        for part in slices(batches, 1):
+            lists = [e.encode(t) for t in part.column(1).to_pylist()]
+            offsets = np.zeros(len(lists) + 1, np.int32)
+            np.cumsum([len(x) for x in lists], out=offsets[1:])
+            flat = np.fromiter((t for x in lists for t in x), np.int32, int(offsets[-1]))
+            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([part.column(0), ids], ["doc_id", "ids"])
 
     docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return spread(docs).mapInArrow(encode, "doc_id bigint, ids array<int>")
@@ -279,11 +281,14 @@ def encode_corpus(documents: DataFrame, vocabulary: str = DEFAULT_VOCABULARY) ->
 
 def decode_corpus(encoded: DataFrame, vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
     """doc_id and text of lists of ids; null lists give null."""
+    sent = encoded.sparkSession.sparkContext.broadcast(Path(vocabulary).read_bytes())
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merges = encoder(vocabulary).merges
-        for b in batches:
-            texts = [None if x is None else Decoder(merges).decode(x) for x in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
+        merges = encoder(sent.value).merges
+        for batch in batches:
+            for s in range(0, batch.num_rows, 500):
+                b = batch.slice(s, 500)
+                texts = [None if x is None else Decoder(merges).decode(x) for x in b.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(decode, "doc_id bigint, text string")

@@ -2,11 +2,13 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from lakeforge.llm.leaks import ItemIndex, leak_shares, leaked_items, letters
+from lakeforge.llm.leaks import ItemIndex, codes, leak_shares, leaked_items, letters
+from lakeforge.llm.spread import slices
 from lakeforge.llm.stuffing import page_profile, repeated_positions, stuffed_pages, stuffing_shares
 from lakeforge.llm.transducer import DEFAULT_VOCABULARY, PRETOKEN, Decoder, Encoder, Transducer, decode_corpus, encode_corpus
 from tests.conftest import rows
@@ -82,11 +84,32 @@ def test_leaks_through_edits(spark):
     assert rows(got) == sorted([(d, 100) for d in (1, 2, 3, 4, 5)] + [(9, 200), (13, 200)], key=str)
 
 
-def test_boilerplate_of_items_is_no_leak(spark):
+def test_boilerplate_of_many_items_is_no_leak(spark):
     same = "This notice is provided for reference only and does not replace the filing published by the exchange. "
-    items = spark.createDataFrame([(1, same + ITEM), (2, same + OTHER)], "item_id bigint, text string")
-    docs = spark.createDataFrame([(1, same + NOISE), (2, same + OTHER)], "doc_id bigint, text string")
-    assert rows(leaked_items(docs, items)) == [(2, 2)]
+    others = [OTHER.replace("AB-11111", f"CD-{n}").replace("crates", w).replace("pledge", v) for n, w, v in ((2, "bales", "swap"), (3, "drums", "loan"), (4, "boxes", "lease"))]
+    items = spark.createDataFrame([(i, same + t) for i, t in enumerate([ITEM, OTHER, *others])], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, same + NOISE), (2, same + ITEM)], "doc_id bigint, text string")
+    assert rows(leaked_items(docs, items)) == [(2, 0)]
+
+
+def test_a_passage_of_two_items_leaks_both(spark):
+    half = ITEM[: len(ITEM) // 2]
+    items = spark.createDataFrame([(1, ITEM), (2, half + OTHER[: len(half)])], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, NOISE + half + NOISE)], "doc_id bigint, text string")
+    assert rows(leaked_items(docs, items)) == [(1, 1), (1, 2)]
+
+
+def test_short_items_are_found_whole(spark):
+    items = spark.createDataFrame([(1, "no tin today"), (2, "短句"), (3, "x"), (4, "!?")], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, "There is <b>No</b> tin, today."), (2, "nothing notintoday"), (3, "这是短句。"), (4, "xx"), (5, "(X)")], "doc_id bigint, text string")
+    assert rows(leaked_items(docs, items)) == [(1, 1), (3, 2), (5, 3)]
+
+
+def test_comparison_signs_are_no_tags(spark):
+    assert letters("x < 3 and y > 4") == "x3andy4" and letters("<p class='a'>b</p><br/><a href=x>c</a>") == "bc"
+    assert letters("<img alt='" + "long " * 200 + "'>z") == "z" and letters("a<!-- no -->b <!-- open") == "abopen"
+    items = spark.createDataFrame([(1, ITEM)], "item_id bigint, text string")
+    assert rows(leaked_items(spark.createDataFrame([(1, "x < 3 " + ITEM + " y > 4")], "doc_id bigint, text string"), items)) == [(1, 1)]
 
 
 def test_passes_over_many_items_give_the_same(spark):
@@ -114,15 +137,20 @@ def test_windows_against_brute_force_edit_distance():
             i = rnd.randrange(len(t))
             t[i : i + 1] = rnd.choice([[], ["q"], [t[i], "z"]])
         text = "".join(t)
-        win, at = index.candidates(text)
-        doc = index.encode(text)
-        import numpy as np
-
-        ok = index.verify(win, at, doc, np.zeros(len(win), int), np.full(len(win), len(doc)))
-        found = set(win[ok].tolist())
+        doc = codes(text)
+        win, at = index.hits(doc)
+        found = set(win[index.verify(win, at, doc)].tolist())
         for w in range(len(index.w_item)):
-            p = letters([ITEM, OTHER, ZH][index.w_item[w]])[index.w_start[w] : index.w_start[w] + index.w_len[w]]
-            assert (w in found) == (brute_distance(p, text) <= index.budget)
+            p = "".join(map(chr, index.code[index.w_start[w] : index.w_start[w] + index.w_len[w]]))
+            assert (w in found) == (brute_distance(p, text) <= index.w_budget[w])
+
+
+def test_memory_of_an_index_follows_the_items():
+    rnd = random.Random(1)
+    zh = [("".join(chr(0x4E00 + rnd.randrange(3000)) for _ in range(200)), n) for n in range(500)]
+    index = ItemIndex([(n, t) for t, n in zh])
+    held = sum(v.nbytes for v in vars(index).values() if hasattr(v, "nbytes"))
+    assert held < 60 * sum(len(t) for t, _ in zh)
 
 
 def test_repeated_positions_against_brute_force():
@@ -143,7 +171,27 @@ LINKS = "\n".join(f"- [offer {i}](https://www.site-{i}.example/{i * 7})" for i i
 TAGS = " ".join(f"#{w}" for w in ("goldprice", "lowfee", "dailypicks") for _ in range(20))
 
 
-@pytest.mark.parametrize("text,bad", [(PROSE, False), (STUFFED, True), (LINKS, True), (TAGS, True), (PROSE + STUFFED, True), (PROSE + "\n" + LINKS[:200], False), ("股票推荐 打新 " * 30, True), ("公司表示将在年内完成回购，并对业绩保持信心。" * 8, False), ("```\n" + STUFFED + "```\n" + PROSE, False)])
+PROSE_OF = {
+    "de": "Die Hauptversammlung hat am Dienstag beschlossen, den Gewinn nicht auszuschütten. Der Vorstand begründete den Schritt mit den Kosten der neuen Anlage, die im Herbst in Betrieb gehen soll. Mehrere Aktionäre widersprachen und verlangten eine Prüfung der Zahlen.",
+    "es": "La empresa anunció que no repartirá dividendos porque los costes de la nueva planta superaron lo previsto. El consejo explicó que la deuda ha crecido durante los últimos tres ejercicios. Algunos accionistas pidieron una revisión de las cuentas.",
+    "ru": "Совет директоров решил не выплачивать дивиденды из-за высоких расходов на новый завод. По словам председателя, долг вырос за последние три года. Некоторые акционеры потребовали проверить отчётность.",
+    "ja": "会社は新工場の費用が予想を上回ったため、今年は配当を行わないと発表した。取締役会は、過去三年間に負債が大きく増えたことを理由に挙げた。一部の株主は決算の見直しを求めた。",
+}
+
+
+def test_prose_of_any_language_is_clean():
+    for text in PROSE_OF.values():
+        total, bad = page_profile(text)
+        assert bad < 0.3 * total
+
+
+def test_keywords_in_sentence_form_are_stuffing():
+    page = "Cheap shoes online today. Buy cheap shoes online. Online cheap shoes sale. Our cheap shoes online. Cheap shoes online shop. " * 4
+    total, bad = page_profile(page)
+    assert bad > 0.5 * total
+
+
+@pytest.mark.parametrize("text,bad", [(PROSE, False), (STUFFED, True), (LINKS, True), (TAGS, True), (PROSE + STUFFED, True), (PROSE + "\n" + LINKS[:200], False), ("股票推荐 打新 " * 30, True), ("公司表示将在年内完成回购，并对业绩保持信心。" * 8, False), ("```\n" + STUFFED + "```\n", True), ("```\nselect a, b from t where (c = 'x') and d.e > 1;\n" * 9 + "```\n" + PROSE, False), ("```\n" + STUFFED, True)] + [(t, False) for t in PROSE_OF.values()])
 def test_pages(text, bad):
     total, stuffed = page_profile(text)
     assert (stuffed > 0.5 * total) == bad
@@ -156,9 +204,26 @@ def test_stuffed_pages(spark):
     assert stuffed_pages(df.limit(0)).count() == 0
 
 
-def test_pages_longer_than_one_automaton(monkeypatch):
+def test_suffix_array_gives_the_coverage_of_the_automaton(monkeypatch):
     import lakeforge.llm.stuffing as S
 
-    monkeypatch.setattr(S, "MAX_TOKENS", 50)
+    rnd = random.Random(8)
+    for _ in range(80):
+        t = [rnd.randrange(rnd.choice((2, 3, 7))) for _ in range(rnd.randrange(1, 60))]
+        for n in (2, 3, 5):
+            assert S.covered_by_suffixes(t, n) == S.repeated_positions(t, n)
+    monkeypatch.setattr(S, "AUTOMATON_TOKENS", 50)
     total, bad = S.page_profile(STUFFED)
     assert bad > 0.9 * total
+
+
+def test_repeats_far_apart_count():
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(15_000)]
+    total, bad = page_profile(" ".join(words * 3))
+    assert bad == total
+
+
+def test_slices_are_bounded_by_bytes():
+    b = pa.RecordBatch.from_arrays([pa.array(["a" * n if n else None for n in (5, 0, 30, 4, 4, 0, 9)])], ["text"])
+    got = [s.column(0).to_pylist() for s in slices(iter([b]), 0, 3, 10)]
+    assert [x for s in got for x in s] == b.column(0).to_pylist() and [len(s) for s in got] == [2, 1, 3, 1]
