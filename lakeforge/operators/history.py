@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lakeforge.operators.best import best_values
+
 
 def versions(readings: DataFrame, entity: str, on: str, attributes: list[str]) -> DataFrame:
     """entity, attributes, valid_from, valid_to (null for the open one).  readings: at most one row for each entity and date."""
@@ -30,9 +32,6 @@ def versions(readings: DataFrame, entity: str, on: str, attributes: list[str]) -
 
 def snapshot_readings(rows: DataFrame, entity: str, on: str, attribute: str, trust: DataFrame) -> DataFrame:
     """One reading for each entity and date: the attribute of the best row that has it, trimmed and in lower case."""
-    from lakeforge.operators.fusion import best_rows
-
     text = F.lower(F.trim(F.col(attribute)))
-    clean = rows.withColumn("_reading", F.when(F.trim(F.col(attribute)) != "", text))
-    best = best_rows(clean, [entity, on], {"_reading": F.col("_reading").isNotNull()}, trust, value=True)
-    return best.where(F.col(entity).isNotNull() & F.col(on).isNotNull() & F.col("_reading").isNotNull()).select(entity, on, F.col("_reading.value").alias(attribute))
+    clean = rows.where(F.col(entity).isNotNull() & F.col(on).isNotNull()).withColumn(attribute, F.when(F.trim(F.col(attribute)) != "", text))
+    return best_values(clean, [entity, on], attribute, trust)
