@@ -12,7 +12,6 @@ from lakeforge.functions.columns import canonical_symbol, iso_date
 from lakeforge.operators.attributes import fact_history, known_attributes, membership_history, unpivot_known
 from lakeforge.operators.compaction import Compacted, carry_out
 from lakeforge.operators.drift import column_names, schema_changes, union_schema, union_table
-from lakeforge.operators.fusion import best_rows, claims, field_sources, fused_values
 from lakeforge.operators.history import snapshot_readings, versions
 from lakeforge.operators.reconcile import current_rows, differences
 from lakeforge.operators.spikes import implausible
@@ -96,24 +95,6 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("symbol", iso_date("trade_date").alias("trade_date"), "source", "diff_kind", "field_name")
 
 
-def p6_found(spark: SparkSession, folder: str) -> DataFrame:
-    trust, key = table(spark, folder, "source_trust"), ["symbol", "trade_date"]
-    bars = best_rows(table(spark, folder, "daily_bars"), key, {f: F.col(f).isNotNull() for f in PRICES}, trust)
-    status = best_rows(table(spark, folder, "trading_status"), key, {"status": F.trim("status") != ""}, trust)
-    found = field_sources(bars, key, PRICES).withColumn("table_name", F.lit("daily_bars")).unionByName(field_sources(status, key, ["status"]).withColumn("table_name", F.lit("trading_status")))
-    return found.select("table_name", "symbol", iso_date("trade_date").alias("trade_date"), "field_name", "source", "data_version", "fetched_epoch")
-
-
-def p6_fused(spark: SparkSession, folder: str) -> DataFrame:
-    """Every field of each group by Bayesian fusion, for comparison with the rule of p6_found; sources are judged over both tables."""
-    key = ["table_name", "symbol", "trade_date"]
-    bars = table(spark, folder, "daily_bars").withColumn("table_name", F.lit("daily_bars"))
-    status = table(spark, folder, "trading_status").withColumn("table_name", F.lit("trading_status")).withColumn("status", F.nullif(F.lower(F.trim("status")), F.lit("")))
-    stated = cut(claims(bars, key, PRICES).unionByName(claims(status, key, ["status"])))
-    fused = fused_values(stated, [*key, "field_name"])
-    return fused.select("table_name", "symbol", iso_date("trade_date").alias("trade_date"), "field_name", "value", F.round("posterior", 6).alias("posterior"))
-
-
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     readings = snapshot_readings(table(spark, folder, "trading_status"), "symbol", "trade_date", "status", table(spark, folder, "source_trust"))
     found = versions(readings, "symbol", "trade_date", ["status"])
@@ -121,7 +102,7 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_packed, p1_journal, p2_found, p2_schema, p2_table, p3_found, p4_found, p5_found, p6_found, p6_fused, p7_found)}
+    return {f.__name__: f for f in (p1_found, p1_packed, p1_journal, p2_found, p2_schema, p2_table, p3_found, p4_found, p5_found, p7_found)}
 
 
 _RANKED = """coalesce(try_cast(nullif(regexp_extract(data_version, '([0-9]{1,9})', 1), '') as bigint), -1) desc, coalesce(data_version, '') desc,
@@ -129,16 +110,6 @@ _RANKED = """coalesce(try_cast(nullif(regexp_extract(data_version, '([0-9]{1,9})
 _TRUST = "left join (select source, min(trust_rank) as trust_rank from source_trust group by 1) using (source)"
 
 
-def _p6_sql() -> str:
-    part = lambda t, f, has: (
-        f"select '{t}' as table_name, symbol, trade_date, '{f}' as field_name, source, data_version, fetched_at from "
-        f"(select *, count(*) over (partition by symbol, trade_date) as n from {t}) {_TRUST} where n >= 2 and {has} "
-        f"qualify row_number() over (partition by symbol, trade_date order by {_RANKED}) = 1"
-    )
-    parts = [*(part("daily_bars", f, f"{f} is not null") for f in PRICES), part("trading_status", "status", "trim(status) <> ''")]
-    return "select table_name, symbol, strftime(trade_date, '%Y-%m-%d') as trade_date, field_name, source, data_version, cast(floor(epoch(fetched_at)) as bigint) as fetched_epoch from (" + " union all ".join(f"({p})" for p in parts) + ")"
-
-
 def _p5_sql() -> str:
     symbol = (
         "case when regexp_extract(upper(regexp_replace(symbol, '\\s', '', 'g')), '([0-9]{6})', 1) <> '' and regexp_extract(upper(regexp_replace(symbol, '\\s', '', 'g')), '(SH|SZ|BJ)', 1) <> '' "
@@ -177,7 +148,6 @@ members as (select e.symbol, e.trade_date, e.reason, classification_system as at
   qualify row_number() over (partition by e.symbol, e.trade_date, e.reason, classification_system order by as_of_date desc, industry_code desc) = 1)
 select symbol, strftime(trade_date, '%Y-%m-%d') as trade_date, reason, attr_name, attr_key, strftime(known_date, '%Y-%m-%d') as known_date from (select * from facts union all select * from members)""",
         "p5_found": _p5_sql(),
-        "p6_found": _p6_sql(),
         "p7_found": f"""
 with r as (select symbol, trade_date, lower(trim(status)) as status from trading_status {_TRUST} where trim(status) <> '' and symbol is not null and trade_date is not null
   qualify row_number() over (partition by symbol, trade_date order by {_RANKED}) = 1),

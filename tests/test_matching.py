@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lakeforge.operators.asof import forward_fill, lag_in_blocks, last_known
 from lakeforge.operators.attributes import fact_history, known_attributes, membership_history, unpivot_known
-from lakeforge.operators.fusion import best_rows, claims, field_sources, fused_values
+from lakeforge.operators.best import best_values
 from lakeforge.operators.history import snapshot_readings, versions
 from tests.conftest import rows
 
@@ -88,38 +88,15 @@ def at(n):
     return dt.datetime(2024, 2, 1, 0, 0, n)
 
 
-def test_best_rows_field_by_field(spark):
+def test_best_values(spark):
     data = [
         ("A", day(1), "x", "poor", "v2", at(1)), ("A", day(1), "y", "good", "v1", at(9)), ("A", day(1), None, "good", "v10", at(9)),
         ("B", day(1), "x", "fair", "v1", at(9)), ("B", day(1), "y", "good", "v1", at(1)), ("B", day(1), "z", "good", "v1", at(2)),
-        ("C", day(1), " ", "good", "v1", at(1)), ("C", day(1), None, None, None, None), ("D", day(1), "x", "good", "v1", at(1)), (None, None, "q", "odd", None, None), (None, None, "q", "odd", None, None),
+        ("C", day(1), None, None, None, None), ("D", day(1), "x", "good", "v1", at(1)), (None, None, "q", "odd", None, None), (None, None, "q", "odd", None, None),
     ]
     df = spark.createDataFrame(data, STATUS)
-    best = best_rows(df.selectExpr("*", "1 as n_extra", "2 as trust_rank"), ["symbol", "trade_date"], {"status": F.trim("status") != ""}, spark.createDataFrame(TRUST, "source string, trust_rank int"))
-    got = field_sources(best, ["symbol", "trade_date"], ["status"])
-    assert rows(got, "symbol", "source", "data_version") == [("A", "poor", "v2"), ("B", "good", "v1"), (None, "odd", None)]
-    assert got.where("symbol = 'B'").first().fetched_epoch % 60 == 2
-    assert field_sources(best_rows(df.limit(0), ["symbol", "trade_date"], {"status": F.lit(True)}, spark.createDataFrame(TRUST, "source string, trust_rank int")), ["symbol"], ["status"]).count() == 0
-
-
-def test_copied_votes_are_discounted(spark):
-    rnd = random.Random(2)
-    data = []
-    for i in range(300):
-        truth = f"t{i}"
-        wrong = f"w{rnd.randrange(5)}" if rnd.random() < 0.35 else truth
-        data += [(i, "a", truth if rnd.random() < 0.9 else f"e{rnd.randrange(50)}"), (i, "b", truth if rnd.random() < 0.9 else f"f{rnd.randrange(50)}")]
-        data += [(i, s, wrong) for s in ("c", "copy1", "copy2")]  # a poor source and its copies outvote the good ones
-    df = spark.createDataFrame(data, "item int, source string, value string")
-    fused = fused_values(df, ["item"])
-    right = sum(r.value == f"t{r.item}" for r in fused.toLocalIterator())
-    majority = sum(max({v for j, _, v in data if j == i}, key=lambda v: sum(x == v for j, _, x in data if j == i)) == f"t{i}" for i in range(300))
-    assert fused.count() == 300 and right > majority and right > 270
-
-
-def test_claims_take_a_sources_latest_value(spark):
-    df = spark.createDataFrame([("A", day(1), "x", "s", "v1", at(1)), ("A", day(1), "y", "s", "v1", at(2)), ("A", day(1), None, "t", "v1", at(2))], STATUS)
-    assert rows(claims(df, ["symbol", "trade_date"], ["status"]), "source", "value") == [("s", "y")]
+    got = best_values(df.selectExpr("*", "1 as n_extra", "2 as trust_rank"), ["symbol", "trade_date"], "status", spark.createDataFrame(TRUST, "source string, trust_rank int"))
+    assert rows(got, "symbol", "status") == [("A", "x"), ("B", "z"), ("D", "x"), (None, "q")]
 
 
 def test_history_versions(spark):
@@ -129,13 +106,3 @@ def test_history_versions(spark):
     readings = snapshot_readings(df, "symbol", "trade_date", "status", spark.createDataFrame(TRUST, "source string, trust_rank int"))
     assert rows(versions(readings, "symbol", "trade_date", ["status"])) == [("A", "normal", day(1), day(4)), ("A", "normal", day(9), None), ("A", "st", day(4), day(9))]
     assert versions(readings.limit(0), "symbol", "trade_date", ["status"]).count() == 0
-
-
-def test_every_field_of_both_tables_is_fused(spark, tmp_path):
-    from lakeforge.plans.problems import PRICES, p6_fused
-
-    bars = [("A", day(1), s, at(1), *[v] * 6) for s, v in (("a", 1.0), ("b", 1.0), ("c", 2.0))]
-    spark.createDataFrame(bars, "symbol string, trade_date date, source string, fetched_at timestamp, " + ", ".join(f"{f} double" for f in PRICES)).write.parquet(f"{tmp_path}/daily_bars.parquet")
-    spark.createDataFrame([("A", day(1), "x", "a", "v1", at(1))], STATUS).write.parquet(f"{tmp_path}/trading_status.parquet")
-    want = [("daily_bars", f, "1.0") for f in PRICES] + [("trading_status", "status", "x")]
-    assert rows(p6_fused(spark, str(tmp_path)), "table_name", "field_name", "value") == sorted(want)
