@@ -65,3 +65,15 @@ def validated(df: DataFrame, spec: Dataset, allow_missing: bool = False, strict:
     if any(counts.values()):
         raise SchemaValidationError(f"{spec.name}: " + ", ".join(f"{v} rows {n}" for n, v in counts.items() if v))
     return rows
+
+
+def checked(df: DataFrame, spec: Dataset) -> DataFrame:
+    """The rows as they are; one that breaks the contract fails the query that reads it, naming the fault.
+
+    Lazy, in one pass with the query.  The condition counts as not deterministic, so the optimiser cannot move it before
+    the filters that come first."""
+    fault = F.concat_ws(", ", *(F.when(c, F.lit(n)) for n, c in faults(spec).items() if n != "null" or set(spec.required_columns) <= set(df.columns)))
+    if not set(spec.schema.names) <= set(df.columns):
+        return df
+    told = F.concat(F.lit(f"{spec.name}: a row is "), fault)
+    return df.where(F.when((fault != "") & (F.rand() < 2), F.raise_error(told).cast("boolean")).otherwise(True))

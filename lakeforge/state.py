@@ -4,20 +4,18 @@ from __future__ import annotations
 
 import json
 from collections import Counter
-from contextlib import contextmanager
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeforge.lake import lock_path
+from lakeforge.locks import LockedError as LockedError
+from lakeforge.locks import writing
 from lakeforge.quality.checks import last_contiguous
 from lakeforge.sources import files
 
 
-class LockedError(RuntimeError):
-    """Another writer holds the lake."""
-
-
 class State:
     """Small JSON documents under ``<root>/meta``."""
 
@@ -110,21 +108,9 @@ class State:
 
     # --- one writer
 
-    @contextmanager
-    def writing(self, stale_after: float = 6 * 3600):
-        """Holds the lake's lock; a lock older than ``stale_after`` seconds is taken over."""
-        path = f"{self.root}/write.lock"
-        if not files.create_new(self.spark, path):
-            age = files.age_seconds(self.spark, path)
-            if age is not None and age < stale_after:
-                raise LockedError(f"{path} is held for {age:.0f} s")
-            files.delete(self.spark, path)
-            if not files.create_new(self.spark, path):
-                raise LockedError(path)
-        try:
-            yield
-        finally:
-            files.delete(self.spark, path)
+    def writing(self, stale_after: float = 600.0):
+        """Holds the lake's lock, see ``locks.writing``."""
+        return writing(self.spark, lock_path(self.root.removesuffix("/meta")), stale_after)
 
 
 def clean_staging(spark: SparkSession, root: str, keep: set[str]) -> int:

@@ -9,8 +9,8 @@ from lakeforge.registry import dataset
 
 
 def stream_compact(lake: Lake, name: str, staging: str, checkpoint: str, files_per_batch: int = 100):
-    """Merges what is new under ``staging`` and stops.  A batch that is delivered again merges to the same rows, so a
-    lost executor or driver costs a repeat, never a duplicate."""
+    """Merges what is new under ``staging`` and stops.  Each batch is one merge under the lake's lock; one that is delivered
+    again merges to the same rows, so a lost executor or driver costs a repeat, never a duplicate nor a row."""
     source = lake.spark.readStream.schema(dataset(name).schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", files_per_batch).parquet(staging)
 
     def merge(rows: DataFrame, _: int) -> None:
