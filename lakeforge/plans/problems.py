@@ -13,7 +13,7 @@ from lakeforge.operators.attributes import fact_history, known_attributes, membe
 from lakeforge.operators.compaction import Compacted, carry_out
 from lakeforge.operators.drift import column_names, schema_changes, union_schema, union_table
 from lakeforge.operators.history import snapshot_readings, versions
-from lakeforge.operators.reconcile import current_rows, differences
+from lakeforge.operators.reconcile import differences
 from lakeforge.operators.spikes import implausible
 from lakeforge.registry import dataset
 from lakeforge.session import cut, shared_folder
@@ -90,7 +90,7 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     key = ["symbol", "trade_date", "source"]
-    left, right = (current_rows(table(spark, folder, t).withColumn("symbol", canonical_symbol("symbol")), key, PRICES) for t in ("daily_bars", "daily_bars_mirror"))
+    left, right = (table(spark, folder, t).withColumn("symbol", canonical_symbol("symbol")) for t in ("daily_bars", "daily_bars_mirror"))
     found = differences(left, right, key, PRICES, "symbol", F.year("trade_date"), ("missing_in_mirror", "missing_in_bars"))
     return found.select("symbol", iso_date("trade_date").alias("trade_date"), "source", "diff_kind", "field_name")
 

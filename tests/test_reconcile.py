@@ -3,10 +3,11 @@ from __future__ import annotations
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakeforge.functions.columns import canonical_symbol
-from lakeforge.operators.reconcile import current_rows, differences, differing_rows, eight_digits, full_join_differences
+from lakeforge.operators.reconcile import current_hashes, current_rows, differences, eight_digits, full_join_differences, unmatched_keys
 from tests.conftest import rows
 
 KEY, VALUES, NAMES = ["symbol", "trade_date", "source"], ["close", "volume"], ("missing_right", "missing_left")
@@ -18,7 +19,11 @@ def at(n):
 
 
 def copy(spark, data):
-    return current_rows(spark.createDataFrame(data, SCHEMA), KEY, VALUES)
+    return spark.createDataFrame(data, SCHEMA)
+
+
+def hashes(df):
+    return current_hashes(df, KEY, VALUES)
 
 
 def made(seed, n=800):
@@ -44,14 +49,21 @@ def test_equals_the_full_join(spark):
     for seed in range(3):
         l, r = (copy(spark, x) for x in made(seed))
         got = rows(differences(l, r, KEY, VALUES, "symbol", F.year("trade_date"), NAMES))
-        assert got == rows(full_join_differences(l, r, KEY, VALUES, NAMES)) and len(got) > 20
+        assert got == rows(full_join_differences(*(current_rows(x, KEY, VALUES) for x in (l, r)), KEY, VALUES, NAMES)) and len(got) > 20
 
 
 def test_equal_stretches_are_left_out(spark):
     left, right = made(1)
     l, r = copy(spark, left), copy(spark, [x for i, x in enumerate(left) if i != 400])
-    assert 1 <= differing_rows(l, r, KEY, VALUES, "symbol", F.year("trade_date")).count() < 120
-    assert differing_rows(l, l, KEY, VALUES, "symbol", F.year("trade_date")).count() == 0
+    found = unmatched_keys(hashes(l), hashes(r), KEY, "symbol", F.year("trade_date"))
+    assert [(x.r is None, x.trade_date) for x in found.toLocalIterator()] == [(True, left[400][1])]
+    assert unmatched_keys(hashes(l), hashes(l), KEY, "symbol", F.year("trade_date")).count() == 0
+
+
+def test_a_tolerance_beyond_the_fingerprints_is_refused(spark):
+    one = copy(spark, made(1, 5)[0])
+    with pytest.raises(ValueError):
+        differences(one, one, KEY, VALUES, "symbol", F.year("trade_date"), NAMES, 1e-8)
 
 
 def test_latest_row_counts_and_nulls(spark):
