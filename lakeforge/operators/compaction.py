@@ -2,18 +2,19 @@
 
 Runs (stored fragments) of one merge unit are merged level by level: at each level the runs of a size tier up to
 that level are ordered by size and merged ``fan_in`` at a time, so that bytes move only among runs of like size.
-The levels are planned on metadata alone (one row a file) and the merged units packed, in key order, into files of
-about ``target_bytes``; then every row moves once, straight into the packed file of its unit's final run.
+The levels are planned on metadata alone (one row a file and unit).  A unit is a block of a session (``block`` cuts long
+sessions, however long), and the units of a period are dealt to 2^k packed files by hash, so that a file has at most about
+``target_bytes`` and keeps its units until the period has doubled.
 
-A packed file is one transaction, named by the hash of its runs: their units, input files, row counts and contents.
-It is carried out in three steps below ``store``: ``data`` gets its rows, ``journal`` the line of every merge in it,
-and ``finished`` its name, in one file.  A rerun plans the same names, leaves finished ones as they lie and replaces
-what an interrupted run left of others.  Counts after the merge are taken from the written files.
+A packed file is one transaction, named by its place and the contents of its runs: their units, input files, row counts
+and sizes.  It is carried out in three steps below ``store``: ``data`` gets its rows, ``journal`` the line of every merge
+in it, and ``finished`` its name, in one file.  A rerun plans the same names, leaves finished ones as they lie, replaces
+what an interrupted run left of others, and after new deliveries only the files are written whose units got new runs.
+Counts after the merge are taken from the written files.
 
 Defined results: rows with a null merge key are kept and merged by null-safe grouping; the same row in several
 files stays once, the latest ``fetched_at`` winning; files without rows take part in no merge; an empty table
-gives an empty journal; further columns are carried along.  Hot units are split by a salt for the numbering of
-their runs, whose count alone decides, and merge in later levels; nothing is dropped.
+gives an empty journal; further columns are carried along; nothing is dropped.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import uuid
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -31,20 +32,39 @@ from lakeforge.functions.joins import null_safe_join
 from lakeforge.session import cut, shared_folder
 from lakeforge.sources.files import exists
 
+#: Names of the columns that say where a row goes; input columns must not bear them.
+BLOCK, PERIOD, FILE, TX = "_block", "_period", "_file", "_tx"
 
-def partition_label(path: str = "file_path", column: str = "trade_date") -> F.Column:
+
+def partition_label(path: str = "file_path", column: str = "trade_date") -> Column:
     return F.regexp_extract(path, column + "=([^/]*)/", 1)
 
 
 def fragments(rows: DataFrame, files: DataFrame, unit: list[str]) -> DataFrame:
-    """One row for each unit and file: rows, bytes (the file's, in proportion), a fingerprint of the rows and the directory the file lies in."""
-    counts = rows.groupBy(*unit, "file_id").agg(F.count(F.lit(1)).alias("n_rows"), F.bit_xor(F.xxhash64(*rows.columns)).alias("print"))
-    about = files.select("file_id", F.col("n_rows").alias("file_rows"), F.col("n_bytes").alias("file_bytes"), partition_label().alias("label")).dropDuplicates(["file_id"])
+    """One row for each unit and file: rows, bytes (the file's, in proportion), a print of the file's contents (files are
+    never rewritten: id, size and time of writing say them) and the directory the file lies in."""
+    counts = rows.groupBy(*unit, "file_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    about = files.select(
+        "file_id", F.col("n_rows").alias("file_rows"), F.col("n_bytes").alias("file_bytes"), partition_label().alias("label"), F.xxhash64("file_id", "n_rows", "n_bytes", "written_at").alias("print")
+    ).dropDuplicates(["file_id"])
     share = F.col("n_rows") * F.coalesce(F.try_divide("file_bytes", "file_rows"), F.lit(64.0))
     return counts.join(about, "file_id", "left").withColumn("n_bytes", F.ceil(share).cast("bigint")).drop("file_rows", "file_bytes")
 
 
-def merge_levels(runs: DataFrame, unit: list[str], fan_in: int = 32, base_bytes: int = 4096, split_over: int = 100_000) -> tuple[DataFrame, DataFrame]:
+def numbered(runs: DataFrame, unit: list[str]) -> DataFrame:
+    """Adds ``at``: the place of a run in its unit, like sizes together.
+
+    Runs are counted by blocks (a quarter of a doubling in size, then the head of the name's hash), and the runs of a block
+    are numbered from the count of those before it, so a unit with most of the runs is no single task."""
+    block = ["_size", "_head"]
+    r = runs.withColumns({"_size": F.floor(F.log2(F.greatest(F.col("n_bytes"), F.lit(1)).cast("double")) * 4), "_hash": F.xxhash64("run_id")}).withColumn("_head", F.shiftrightunsigned("_hash", 58))
+    n = r.groupBy(*unit, *block).agg(F.count(F.lit(1)).alias("_n"))
+    before = n.withColumn("_before", F.coalesce(F.sum("_n").over(W.partitionBy(*unit).orderBy(*block).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    inside = r.withColumn("_in", F.row_number().over(W.partitionBy(*unit, *block).orderBy("_hash", "run_id")))
+    return null_safe_join(inside, before, [*unit, *block]).withColumn("at", F.col("_before") + F.col("_in") - 1).drop("_before", "_in", "_hash", *block)
+
+
+def merge_levels(runs: DataFrame, unit: list[str], fan_in: int = 32, base_bytes: int = 4096) -> tuple[DataFrame, DataFrame]:
     """Plans all merges of runs (unit, run_id, n_rows, n_bytes, n_files).  Returns the final runs and the journal."""
     tier = F.when(F.col("n_bytes") <= base_bytes, 0).otherwise(F.floor(F.log(float(fan_in), F.col("n_bytes") / base_bytes)) + 1).cast("int")
     runs = runs.select(*unit, "run_id", "n_rows", "n_bytes", "n_files")
@@ -52,20 +72,16 @@ def merge_levels(runs: DataFrame, unit: list[str], fan_in: int = 32, base_bytes:
     most, last_tier, journal = top["n"] or 0, top["t"] or 0, []
     level = 0
     while most > 1:
-        order = W.partitionBy(*unit, "salt").orderBy("n_bytes", "run_id")
-        salted = runs.withColumn("at", tier <= level).withColumn("salt", F.lit(0))
-        if most > split_over:  # only then can one unit's runs be too many to number in one task
-            salted = salted.withColumn("salt", F.pmod(F.xxhash64("run_id"), F.lit(-(-most // split_over))).cast("int"))
-        numbered = salted.where("at").withColumn("pack", F.floor((F.row_number().over(order) - 1) / fan_in))
+        due = runs.withColumn("due", tier <= level)
+        packs = numbered(due.where("due"), unit).withColumn("pack", F.floor(F.col("at") / fan_in))
         merged = (
-            numbered.groupBy(*unit, "salt", "pack")
+            packs.groupBy(*unit, "pack")
             .agg(F.sort_array(F.collect_list("run_id")).alias("inputs"), F.sum("n_rows").alias("n_rows"), F.sum("n_bytes").alias("n_bytes"), F.sum("n_files").alias("n_files"))
             .withColumn("run_id", F.when(F.size("inputs") == 1, F.col("inputs")[0]).otherwise(F.sha2(F.concat_ws(",", "inputs"), 256)))
         )
         merged = cut(merged.select(*unit, "inputs", "run_id", "n_rows", "n_bytes", "n_files"))
         journal.append(merged.where(F.size("inputs") > 1).withColumn("level", F.lit(level)))
-        rest = salted.where(~F.col("at")).select(*unit, "run_id", "n_rows", "n_bytes", "n_files")
-        runs = merged.drop("inputs").unionByName(rest)
+        runs = merged.drop("inputs").unionByName(due.where(~F.col("due")).drop("due"))
         if level >= last_tier:
             most = runs.groupBy(*unit).count().agg(F.max("count").alias("n")).first()["n"]
         level += 1
@@ -76,12 +92,13 @@ def merge_levels(runs: DataFrame, unit: list[str], fan_in: int = 32, base_bytes:
 
 
 class Compacted(NamedTuple):
-    """units: counts before and after, period and file_no of each unit; rows: every key once, as written; written: rows and bytes of each packed file."""
+    """units: counts before and after of each session; journal: every merge; rows: every key once, as written; packed: periods
+    with their files, sessions, rows and bytes before and after."""
 
     units: DataFrame
     journal: DataFrame
     rows: DataFrame
-    written: DataFrame
+    packed: DataFrame
 
 
 def compact(rows: DataFrame, files: DataFrame, unit: list[str], key: list[str], fan_in: int = 32, target_bytes: int = 128 << 20) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -90,51 +107,52 @@ def compact(rows: DataFrame, files: DataFrame, unit: list[str], key: list[str],
     return done.units, done.journal, done.rows
 
 
-def carry_out(rows: DataFrame, files: DataFrame, unit: list[str], key: list[str], store: str, period: F.Column, fan_in: int = 32, target_bytes: int = 128 << 20) -> Compacted:
-    """Plans the merges, writes what ``store`` doesn't hold finished, and counts what is written.  period: of the unit's columns."""
+def carry_out(rows: DataFrame, files: DataFrame, session: list[str], key: list[str], store: str, period: Column, fan_in: int = 32, target_bytes: int = 128 << 20, block: Column | None = None) -> Compacted:
+    """Plans the merges, writes what ``store`` does not hold finished, and counts what is written.
+
+    period: the part of the store a session belongs to; periods are bounded by the calendar.  block: cuts a session."""
     spark = rows.sparkSession
-    parts = cut(fragments(rows, files, unit))
-    before = parts.groupBy(*unit).agg(
-        F.countDistinct("file_id").alias("files_before"), F.countDistinct(F.nullif("label", F.lit(""))).alias("partitions_before"), F.sum("n_rows").alias("rows_before"), F.bit_xor(F.xxhash64("file_id", "n_rows", "print")).alias("print")
-    )
-    runs, plan = merge_levels(parts.withColumn("run_id", F.col("file_id").cast("string")).withColumn("n_files", F.lit(1).cast("bigint")), unit, fan_in)
-    merged = null_safe_join(before, runs.withColumnsRenamed({"n_files": "files_merged", "n_bytes": "bytes_merged"}).drop("n_rows"), unit)
-    packed = cut(packed_files(merged, period, unit, target_bytes))
-    line = F.to_json(F.struct(*unit, "run_id", "print"))
-    named = packed.groupBy("period", "file_no").agg(F.sha2(F.concat_ws(",", F.sort_array(F.collect_list(line))), 256).alias("_tx"), F.min(F.struct(*unit)).alias("_from"), F.max(F.struct(*unit)).alias("_to"))
-    planned = cut(named)  # one row a packed file
-    packed = null_safe_join(packed, planned.select("period", "file_no", "_tx"), ["period", "file_no"])
-
-    finished = f"{store}/finished"
-    todo = planned.join(spark.read.schema("_tx string").parquet(finished), "_tx", "left_anti") if exists(spark, finished) else planned
-    todo = cut(todo)
-    stored, journal = f"{store}/data", f"{store}/journal"
-    lines = null_safe_join(plan, packed.select(*unit, "_tx"), unit)
-    if not todo.isEmpty() or not exists(spark, stored):
-        at = F.struct(*(F.col(c) for c in unit))
-        # the units of a packed file follow each other, so a row's file is found by its range
-        ranges = F.broadcast(todo.withColumnRenamed("period", "_period").select("_period", "_from", "_to", "_tx"))
-        own = rows.withColumn("_at", at).withColumn("_of", period)
-        own = own.join(ranges, F.col("_of").eqNullSafe(F.col("_period")) & (F.col("_at") >= F.col("_from")) & (F.col("_at") <= F.col("_to"))).select("_tx", *rows.columns)
-        newest = merged_rows(own, ["_tx", *unit], key).select("_tx", *rows.columns)
-        _replace(newest.repartition("_tx").sortWithinPartitions("_tx", *unit, *key), stored)
-        _replace(lines.join(F.broadcast(todo.select("_tx")), "_tx", "left_semi").repartition("_tx"), journal)
-        todo.select("_tx").coalesce(1).write.mode("append").parquet(finished)
-
-    mine = F.broadcast(planned.select("_tx"))
-    data = spark.read.schema(StructType([*rows.schema, StructField("_tx", StringType())])).parquet(stored)
-    per_unit = data.join(mine, "_tx", "left_semi").groupBy(*unit).agg(F.count(F.lit(1)).alias("rows_after"))
-    files_of = data.select("_tx", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size")).join(mine, "_tx", "left_semi")
-    written = files_of.groupBy("_tx", "path").agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("n")).groupBy("_tx").agg(F.sum("n").alias("n_rows"), F.sum("size").alias("n_bytes"), F.count(F.lit(1)).alias("n_files"))
-    written = planned.select("period", "file_no", "_tx").join(written, "_tx")
-    units = null_safe_join(packed.drop("print"), per_unit, unit)
-    told = spark.read.schema(lines.schema).parquet(journal).join(mine, "_tx", "left_semi").select(*plan.columns)
-    return Compacted(units, told, data.join(mine, "_tx", "left_semi").select(*rows.columns), written)
+    placed = rows.withColumns({BLOCK: (F.lit(0) if block is None else block).cast("bigint"), PERIOD: F.coalesce(period.cast("string"), F.lit("none"))})
+    unit = [*session, BLOCK]
+    parts = cut(fragments(placed, files, [*unit, PERIOD]))
+    runs, plan = merge_levels(parts.withColumn("run_id", F.col("file_id").cast("string")).withColumn("n_files", F.lit(1).cast("bigint")), [*unit, PERIOD], fan_in)
+
+    # a period has 2^k files: only when it has doubled do its units move to other files
+    sizes = parts.groupBy(PERIOD).agg(F.sum("n_bytes").alias("_bytes"))
+    counts = cut(sizes.select(PERIOD, F.pow(F.lit(2.0), F.greatest(F.lit(0.0), F.ceil(F.log2(F.greatest(F.col("_bytes") / F.lit(float(target_bytes)), F.lit(1.0)))).cast("double"))).cast("int").alias("_files")))
+    file_of = lambda df: df.join(F.broadcast(counts), PERIOD).withColumn(FILE, F.pmod(F.xxhash64(*unit), F.col("_files")).cast("int"))
+    prints = parts.groupBy(*unit, PERIOD).agg(F.bit_xor(F.xxhash64("file_id", "n_rows", "print")).alias("print"))
+    lines = file_of(null_safe_join(runs.select(*unit, PERIOD, "run_id"), prints, [*unit, PERIOD])).withColumn("_line", F.xxhash64(*unit, "run_id", "print"))
+    named = lines.groupBy(PERIOD, FILE, "_files").agg(F.count(F.lit(1)).alias("n"), F.bit_xor("_line").alias("x"), F.sum(F.shiftrightunsigned("_line", 24)).alias("s"))
+    name = F.concat_ws(".", PERIOD, "_files", FILE, F.substring(F.sha2(F.concat_ws(",", "n", "x", "s"), 256), 1, 24))
+    planned = cut(named.select(PERIOD, FILE, name.alias(TX)))  # one row a packed file
+
+    finished, stored, journal = f"{store}/finished", f"{store}/data", f"{store}/journal"
+    again = exists(spark, finished)
+    todo = cut(planned.join(spark.read.schema(f"{TX} string").parquet(finished), TX, "left_anti")) if again else planned
+    if not again or not todo.isEmpty():
+        own = file_of(placed)
+        if again:
+            own = own.join(todo.select(PERIOD, FILE), [PERIOD, FILE], "left_semi")
+        newest = merged_rows(own.select(PERIOD, FILE, *rows.columns), [PERIOD, FILE, *session], key).repartition(PERIOD, FILE).join(todo, [PERIOD, FILE])
+        _replace(newest.select(TX, *rows.columns).sortWithinPartitions(TX, *session, *key), stored)
+        of = file_of(plan).join(todo, [PERIOD, FILE]).select(TX, *plan.columns)
+        _replace(of.repartition(TX), journal)
+        todo.select(TX).coalesce(1).write.mode("append").parquet(finished)
+
+    mine = planned.select(TX)
+    data = spark.read.schema(StructType([*rows.schema, StructField(TX, StringType())])).parquet(stored).join(mine, TX, "left_semi")
+    before = parts.groupBy(*session).agg(F.countDistinct("file_id").alias("files_before"), F.countDistinct(F.nullif("label", F.lit(""))).alias("partitions_before"), F.sum("n_rows").alias("rows_before"))
+    after = data.groupBy(*session).agg(F.count(F.lit(1)).alias("rows_after"))
+    told = spark.read.schema(StructType([*plan.schema, StructField(TX, StringType())])).parquet(journal).join(mine, TX, "left_semi").select(*plan.columns)
+    was = parts.groupBy(PERIOD).agg(F.countDistinct("file_id").alias("files_before"), F.count_distinct(*(F.struct(F.col(c)) for c in session)).alias("sessions"), F.sum("n_rows").alias("rows_before"), F.sum("n_bytes").alias("bytes_before"))
+    now = data.groupBy(TX).agg(F.count(F.lit(1)).alias("n")).join(planned, TX).groupBy(PERIOD).agg(F.count(F.lit(1)).alias("files_after"), F.sum("n").alias("rows_after"))
+    return Compacted(null_safe_join(before, after, session), told, data.select(*rows.columns), was.join(now, PERIOD).withColumnRenamed(PERIOD, "period"))
 
 
 def _replace(rows: DataFrame, path: str) -> None:
     """Writes each transaction's rows to one file, in place of any that an interrupted run left."""
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_tx").parquet(path)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(TX).parquet(path)
 
 
 def merged_rows(rows: DataFrame, unit: list[str], key: list[str]) -> DataFrame:
@@ -143,17 +161,3 @@ def merged_rows(rows: DataFrame, unit: list[str], key: list[str]) -> DataFrame:
     rest = [c for c in rows.columns if c not in keys]
     rank = F.struct(*(F.col(c) for c in dict.fromkeys([*(x for x in ("fetched_at",) if x in rest), *rest])))
     return rows.groupBy(*keys).agg(F.max(rank).alias("_best")).select(*keys, *(F.col("_best")[c].alias(c) for c in rest))
-
-
-def packed_files(units: DataFrame, period: F.Column, order: list[str], target_bytes: int = 128 << 20) -> DataFrame:
-    """Adds period and file_no: units of a period, in key order, cut where the running size passes ``target_bytes``.
-
-    Sizes are summed by blocks of the first key column first, so no task sorts a whole period's units beyond its
-    block: the running total before a block comes from the block totals."""
-    u = units.withColumn("period", period)
-    block = [order[0]]
-    totals = u.groupBy("period", *block).agg(F.sum("bytes_merged").alias("block_bytes"))
-    carry = totals.withColumn("bytes_before", F.coalesce(F.sum("block_bytes").over(W.partitionBy("period").orderBy(*block).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("block_bytes")
-    inside = F.coalesce(F.sum("bytes_merged").over(W.partitionBy("period", *block).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    joined = null_safe_join(u.withColumn("_inside", inside), carry, ["period", *block])
-    return joined.withColumn("file_no", F.floor((F.col("bytes_before") + F.col("_inside")) / target_bytes)).drop("bytes_before", "_inside")

@@ -28,7 +28,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def _p1(spark: SparkSession, folder: str) -> Compacted:
     """The folder's ticks compacted by month; what an earlier query of the same folder has finished is not done again."""
     store = f"{shared_folder(spark)}/compacted-{hashlib.sha256(folder.encode()).hexdigest()[:16]}"
-    return carry_out(table(spark, folder, "trade_ticks"), table(spark, folder, "lake_files"), ["symbol", "trade_date"], ["tick_seq"], store, F.date_format("trade_date", "yyyy-MM"))
+    month, block = F.date_format("trade_date", "yyyy-MM"), F.shiftright("tick_seq", 14)
+    return carry_out(table(spark, folder, "trade_ticks"), table(spark, folder, "lake_files"), ["symbol", "trade_date"], ["tick_seq"], store, month, block=block)
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -36,16 +37,14 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p1_packed(spark: SparkSession, folder: str) -> DataFrame:
-    """The compacted files as written: by month, file number, sessions, rows and bytes."""
-    done = _p1(spark, folder)
-    units = done.units.groupBy("_tx").agg(F.count(F.lit(1)).alias("sessions"), F.sum("files_before").alias("files_before"))
-    return done.written.join(units, "_tx").select("period", "file_no", "sessions", "n_rows", "n_bytes", "files_before")
+    """By month: files, rows and bytes before, and packed files and rows as written."""
+    return _p1(spark, folder).packed.select("period", "files_before", "sessions", "rows_before", "bytes_before", "files_after", "rows_after")
 
 
 def p1_journal(spark: SparkSession, folder: str) -> DataFrame:
     """The stored journal: every merge with its level, output, number of inputs, rows and bytes."""
     journal = _p1(spark, folder).journal
-    return journal.select("symbol", iso_date("trade_date").alias("trade_date"), "level", "run_id", F.size("inputs").alias("inputs"), "n_files", "n_rows", "n_bytes")
+    return journal.select("symbol", iso_date("trade_date").alias("trade_date"), F.col("_block").alias("block"), "level", "run_id", F.size("inputs").alias("inputs"), "n_files", "n_rows", "n_bytes")
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -138,6 +137,13 @@ with per_file as (select symbol, trade_date, t.file_id, regexp_extract(f.file_pa
 before as (select symbol, trade_date, count(distinct file_id) as files_before, count(distinct nullif(label, '')) as partitions_before from per_file group by 1, 2),
 after as (select symbol, trade_date, count(distinct tick_seq) as rows_after from trade_ticks group by 1, 2)
 select symbol, strftime(trade_date, '%Y-%m-%d') as trade_date, files_before, partitions_before, rows_after from before join after using (symbol, trade_date) where files_before >= 2""",
+        "p1_packed": """
+with f as (select distinct file_id, n_rows as file_rows, n_bytes as file_bytes from lake_files),
+part as (select symbol, trade_date, tick_seq >> 14 as block, file_id, count(*) as n from trade_ticks group by all),
+sized as (select *, cast(ceil(n * coalesce(cast(file_bytes as double) / nullif(file_rows, 0), 64.0)) as bigint) as b from part left join f using (file_id)),
+was as (select strftime(trade_date, '%Y-%m') as period, count(distinct file_id) as files_before, count(distinct (symbol, trade_date)) as sessions, cast(sum(n) as bigint) as rows_before, cast(sum(b) as bigint) as bytes_before from sized group by 1),
+now as (select strftime(trade_date, '%Y-%m') as period, count(distinct (symbol, trade_date, tick_seq)) as rows_after from trade_ticks group by 1)
+select period, files_before, sessions, rows_before, bytes_before, cast(pow(2, greatest(0, ceil(log2(greatest(bytes_before / 134217728.0, 1.0))))) as bigint) as files_after, rows_after from was join now using (period)""",
         "p4_found": """
 with e as (select distinct symbol, trade_date, reason from dragon_tiger),
 f as (select symbol, item_code, report_period, announce_date from financial_statement_items where announce_date >= date '2001-01-01'),
