@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -43,3 +45,25 @@ def lag_in_blocks(df: DataFrame, by: list[str], block: Column, order: list[str],
     carry = last.select(*by, "_block", F.lag("_m._last").over(W.partitionBy(*by).orderBy("_block")).alias("_carry"))
     value = F.when(F.col("_lag").isNotNull(), F.col("_lag")[column]).otherwise(F.col("_carry"))
     return null_safe_join(d, carry, [*by, "_block"], "left").select(*df.columns, value.alias(name))
+
+
+def running_in_blocks(df: DataFrame, by: list[str], block: Column, order: list[str], value: Column, fold: Callable[[Column | str], Column], name: str) -> DataFrame:
+    """``fold`` (a running aggregate such as max or bit_or) of ``value`` from the first row of ``by`` to each row, where a
+    key may hold most of the rows: blocks are folded apart and combined with the fold of the blocks before them."""
+    d = df.withColumns({"_block": block, "_value": value})
+    inside = W.partitionBy(*by, "_block").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    d = d.withColumn("_in", fold("_value").over(inside))
+    whole = d.groupBy(*by, "_block").agg(fold("_value").alias("_all"))
+    carry = whole.select(*by, "_block", fold("_all").over(W.partitionBy(*by).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)).alias("_carry"))
+    joined = null_safe_join(d, carry, [*by, "_block"], "left")
+    return joined.withColumn(name, F.when(F.col("_carry").isNull(), F.col("_in")).when(F.col("_in").isNull(), F.col("_carry")).otherwise(_combined(fold, F.col("_in"), F.col("_carry")))).select(*df.columns, name)
+
+
+def _combined(fold: Callable, a: Column, b: Column) -> Column:
+    if fold is F.max:
+        return F.greatest(a, b)
+    if fold is F.bit_or:
+        return a.bitwiseOR(b)
+    if fold is F.sum:
+        return a + b
+    raise ValueError("a fold is max, bit_or or sum")

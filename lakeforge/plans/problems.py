@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lakeforge.functions.columns import canonical_symbol, iso_date
 from lakeforge.operators.attributes import fact_history, known_attributes, membership_history, unpivot_known
 from lakeforge.operators.compaction import Compacted, carry_out
-from lakeforge.operators.drift import column_names, schema_changes, union_schema, union_table
+from lakeforge.operators.drift import TYPE_SPELLINGS, change_log, column_mapping, lineages, schema_changes, union_schema, union_table
 from lakeforge.operators.history import snapshot_readings, versions
 from lakeforge.operators.reconcile import differences
 from lakeforge.operators.spikes import implausible
@@ -47,28 +47,36 @@ def p1_journal(spark: SparkSession, folder: str) -> DataFrame:
     return journal.select("symbol", iso_date("trade_date").alias("trade_date"), F.col("_block").alias("block"), "level", "run_id", F.size("inputs").alias("inputs"), "n_files", "n_rows", "n_bytes")
 
 
+def _p2_changes(spark: SparkSession, folder: str) -> DataFrame:
+    return schema_changes(*(table(spark, folder, t) for t in ("vendor_files", "vendor_columns", "vendor_records")), ["symbol", "trade_date"])
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
-    changes = schema_changes(*(table(spark, folder, t) for t in ("vendor_files", "vendor_columns", "vendor_records")), ["symbol", "trade_date"])
-    return changes.select("file_id", "change_kind", "old_name", "new_name")
+    return _p2_changes(spark, folder).select("file_id", "change_kind", "old_name", "new_name")
+
 
+def _p2_mapping(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The changes, and the column of the union of every declared column."""
+    changes = cut(_p2_changes(spark, folder))
+    lines = lineages(table(spark, folder, "vendor_files"), table(spark, folder, "vendor_columns"), changes)
+    return changes, column_mapping(lines, dataset("daily_bars").schema.names)
 
-def _p2_names(spark: SparkSession, folder: str) -> DataFrame:
-    files, columns, records = (table(spark, folder, t) for t in ("vendor_files", "vendor_columns", "vendor_records"))
-    renames = schema_changes(files, columns, records, ["symbol", "trade_date"]).where("change_kind = 'renamed'").select("file_id", "old_name", "new_name")
-    return cut(column_names(columns, renames, dataset("daily_bars").schema.names))
+
+def p2_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The ordered differences of each feed, with the type that holds all types of the column up to that file."""
+    return change_log(*_p2_mapping(spark, folder))
 
 
 def p2_schema(spark: SparkSession, folder: str) -> DataFrame:
     """The union schema of all deliveries."""
-    return union_schema(table(spark, folder, "vendor_columns"), _p2_names(spark, folder))
+    return union_schema(_p2_mapping(spark, folder)[1])
 
 
 def p2_table(spark: SparkSession, folder: str) -> DataFrame:
     """All records of all deliveries in the union schema, each once for its feed."""
-    names = _p2_names(spark, folder)
-    schema = union_schema(table(spark, folder, "vendor_columns"), names)
-    cells = [(r.canonical, r.dtype) for r in schema.orderBy("canonical").limit(5001).toLocalIterator()]
-    return union_table(table(spark, folder, "vendor_files"), table(spark, folder, "vendor_records"), names, cells, ["symbol", "trade_date"])
+    mapping = _p2_mapping(spark, folder)[1]
+    cells = [(r.canonical, r.dtype) for r in union_schema(mapping).orderBy("canonical").toLocalIterator()]  # a table's columns
+    return union_table(table(spark, folder, "vendor_files"), table(spark, folder, "vendor_records"), mapping, cells, ["symbol", "trade_date"])
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -101,7 +109,7 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_packed, p1_journal, p2_found, p2_schema, p2_table, p3_found, p4_found, p5_found, p7_found)}
+    return {f.__name__: f for f in (p1_found, p1_packed, p1_journal, p2_found, p2_log, p2_schema, p2_table, p3_found, p4_found, p5_found, p7_found)}
 
 
 _RANKED = """coalesce(try_cast(nullif(regexp_extract(data_version, '([0-9]{1,9})', 1), '') as bigint), -1) desc, coalesce(data_version, '') desc,
@@ -129,6 +137,45 @@ def _p5_sql() -> str:
     return f"with l as (select *, 1 as here from ({side('daily_bars')})), r as (select *, 1 as here from ({side('daily_bars_mirror')})) " + " union all ".join(parts)
 
 
+_PLAIN = "lower(trim(regexp_replace(dtype, '\\(.*\\)$', '')))"
+_TYPE = f"case {_PLAIN} " + " ".join(f"when '{a}' then '{b}'" for a, b in TYPE_SPELLINGS.items()) + f" else {_PLAIN} end"
+_CHANGES = f"""
+f as (select distinct file_id, feed, delivered_at from vendor_files where file_id is not null),
+o as (select file_id, lag(file_id) over (partition by feed order by delivered_at, file_id) as previous_id from f),
+d as (select file_id, column_name as name, arg_min({_TYPE}, ordinal) as type from vendor_columns where file_id is not null and column_name is not null group by 1, 2),
+now as (select o.file_id, d.name, d.type from o join d using (file_id) where previous_id is not null),
+was as (select o.file_id, d.name, d.type from o join d on d.file_id = o.previous_id),
+b as (select coalesce(n.file_id, p.file_id) as file_id, coalesce(n.name, p.name) as name, p.type as old_type, n.type as new_type from now n full join was p on n.file_id = p.file_id and n.name = p.name),
+gone as (select file_id, name as old_name from b where new_type is null),
+come as (select file_id, name as new_name from b where old_type is null),
+rec as (select file_id, payload, json_extract_string(payload, '$.symbol') as symbol, json_extract_string(payload, '$.trade_date') as trade_date from vendor_records where json_valid(payload)),
+cells as (select c.file_id, symbol, trade_date, new_name as name, 1 as side, json_extract_string(payload, '$."' || new_name || '"') as v from come c join rec using (file_id)
+  union all select g.file_id, symbol, trade_date, old_name, 0, json_extract_string(payload, '$."' || old_name || '"') from gone g join o using (file_id) join rec on rec.file_id = o.previous_id),
+texts as (select file_id, symbol, trade_date, name, side, max(coalesce(cast(try_cast(v as double) as varchar), lower(trim(v)))) as v from cells where v is not null group by all),
+score as (select file_id, a.name as old_name, n.name as new_name, count(*) filter (a.v = n.v) as same, count(*) as given from (select * from texts where side = 0) a join (select * from texts where side = 1) n using (file_id, symbol, trade_date) group by 1, 2, 3),
+good as (select * from score where same = given and same >= 1),
+ranked as (select *, row_number() over (partition by file_id, old_name order by same desc, old_name, new_name) as a, row_number() over (partition by file_id, new_name order by same desc, old_name, new_name) as z from good),
+renamed as (select file_id, old_name, new_name from ranked where a = 1 and z = 1),
+changes as (select file_id, 'retyped' as change_kind, name as old_name, name as new_name from b where old_type <> new_type
+  union all select file_id, 'renamed', old_name, new_name from renamed
+  union all select file_id, 'removed', old_name, '' from gone anti join renamed using (file_id, old_name)
+  union all select file_id, 'added', '', new_name from come anti join renamed using (file_id, new_name))"""
+
+
+def _p2_schema_sql() -> str:
+    """Columns of the union where no two columns of one file share names (the operator numbers those, SQL would join them)."""
+    preferred = "case name " + " ".join(f"when '{n}' then {i}" for i, n in enumerate(dataset("daily_bars").schema.names)) + " else 1000 end"
+    has = lambda *ts: f"bool_or(type in ({', '.join(repr(t) for t in ts)}))"
+    return f"""
+with recursive {_CHANGES.strip()},
+names as (select distinct name from d),
+edges as (select a.name as x, b.name as y from names a join names b on lower(replace(a.name, '_', '')) = lower(replace(b.name, '_', '')) union select old_name, new_name from renamed union select new_name, old_name from renamed),
+reach(x, y) as (select name, name from names union select r.x, e.y from reach r join edges e on r.y = e.x),
+canonical as (select x as name, arg_min(name, (p, name)) as canonical from (select x, y as name, {preferred.replace("name", "y", 1)} as p from reach) group by 1)
+select canonical, case when bool_or(type not in ('boolean', 'bigint', 'double', 'date', 'timestamp')) or ({has("boolean", "bigint", "double")} and {has("date", "timestamp")}) then 'string' when {has("double")} then 'double' when {has("bigint")} then 'bigint'
+  when {has("boolean")} then 'boolean' when {has("timestamp")} then 'timestamp' else 'date' end as dtype, count(distinct file_id) as n_files from d join canonical using (name) join f using (file_id) group by 1"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "p1_found": """
@@ -144,6 +191,8 @@ sized as (select *, cast(ceil(n * coalesce(cast(file_bytes as double) / nullif(f
 was as (select strftime(trade_date, '%Y-%m') as period, count(distinct file_id) as files_before, count(distinct (symbol, trade_date)) as sessions, cast(sum(n) as bigint) as rows_before, cast(sum(b) as bigint) as bytes_before from sized group by 1),
 now as (select strftime(trade_date, '%Y-%m') as period, count(distinct (symbol, trade_date, tick_seq)) as rows_after from trade_ticks group by 1)
 select period, files_before, sessions, rows_before, bytes_before, cast(pow(2, greatest(0, ceil(log2(greatest(bytes_before / 134217728.0, 1.0))))) as bigint) as files_after, rows_after from was join now using (period)""",
+        "p2_found": f"with {_CHANGES.strip()} select * from changes",
+        "p2_schema": _p2_schema_sql(),
         "p4_found": """
 with e as (select distinct symbol, trade_date, reason from dragon_tiger),
 f as (select symbol, item_code, report_period, announce_date from financial_statement_items where announce_date >= date '2001-01-01'),

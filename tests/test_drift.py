@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from lakeforge.operators.drift import column_names, plain_type, schema_changes, union_schema, union_table, widest, widest_of
+from lakeforge.operators.drift import change_log, column_mapping, lineages, plain_type, schema_changes, union_cells, union_schema, union_table, widest_of
 from tests.conftest import rows
 
 FILES = "file_id bigint, feed string, source string, delivered_at timestamp, n_rows bigint"
@@ -68,7 +68,6 @@ def test_different_content_is_no_rename(spark):
 
 @pytest.mark.parametrize("types,want", [({"bigint", "double"}, "double"), ({"boolean"}, "boolean"), ({"date", "timestamp"}, "timestamp"), ({"date", "bigint"}, "string"), ({"bigint", "string"}, "string"), ({"blob"}, "string")])
 def test_lattice(spark, types, want):
-    assert widest(types) == want
     assert spark.range(1).select(widest_of(F.array(*map(F.lit, sorted(types))))).first()[0] == want
 
 
@@ -77,16 +76,69 @@ def test_spellings(spark):
     assert [r[0] for r in df.select(plain_type(F.col("t"))).toLocalIterator()] == ["string", "string", "double", "bigint", "date", "odd"]
 
 
+def mapped(f, c, r, preferred):
+    changes = schema_changes(f, c, r, KEY)
+    return changes, column_mapping(lineages(f, c, changes), preferred)
+
+
+def table_of(f, r, mapping):
+    return union_table(f, r, mapping, [(x.canonical, x.dtype) for x in union_schema(mapping).orderBy("canonical").toLocalIterator()], KEY)
+
+
 def test_union_table_holds_each_record_once(spark):
     f, c, r = lake(spark, [(1, "f", 1, BASE | {"close": "double"}, [record(1, close=1.5), record(2, close=2.5)]), (2, "f", 2, BASE | {"px": "String"}, [record(2, px="2.5"), record(3, px="3.5"), record(3, px="3.5")])])
-    renames = schema_changes(f, c, r, KEY).where("change_kind = 'renamed'").select("file_id", "old_name", "new_name")
-    names = column_names(c, renames, ["close"])
-    schema = [(x.canonical, x.dtype) for x in union_schema(c, names).orderBy("canonical").toLocalIterator()]
+    _, mapping = mapped(f, c, r, ["close"])
+    schema = [(x.canonical, x.dtype) for x in union_schema(mapping).toLocalIterator()]
     assert ("close", "string") in schema and ("px", "string") not in schema
-    assert rows(union_table(f, r, names, schema, KEY), "symbol", "close") == [("A.SH", "1.5"), ("A.SH", "2.5"), ("A.SH", "3.5")]
+    assert rows(table_of(f, r, mapping), "symbol", "close") == [("A.SH", "1.5"), ("A.SH", "2.5"), ("A.SH", "3.5")]
+    assert union_cells(f, r, mapping).where("canonical = 'close'").count() == 5
+
+
+def test_one_name_of_two_meanings_stays_two_columns(spark):
+    f, c, r = lake(
+        spark,
+        [
+            (1, "f", 1, BASE | {"turnover": "double"}, [record(1, turnover=5.0)]), (2, "f", 2, BASE | {"amount": "double"}, [record(1, amount=5.0), record(2, amount=6.0)]),
+            (3, "g", 1, BASE | {"turnover": "double", "amount": "double"}, [record(1, turnover=0.5, amount=777.0)]), (4, "g", 2, BASE | {"turnover_rate": "double", "amount": "double"}, [record(1, turnover_rate=0.5, amount=777.0)]),
+        ],
+    )
+    _, mapping = mapped(f, c, r, ["amount"])
+    assert rows(table_of(f, r, mapping), "feed", "amount", "turnover") == [("f", 5.0, None), ("f", 6.0, None), ("g", 777.0, 0.5)]
+    assert {x.canonical for x in mapping.where("clash").toLocalIterator()} == {"amount", "turnover"}
+
+
+def test_swapped_and_reused_names_lose_nothing(spark):
+    f, c, r = lake(
+        spark,
+        [
+            (1, "f", 1, BASE | {"a": "int", "b": "int"}, [record(1, a=1, b=10), record(2, a=2, b=20)]),
+            (2, "f", 2, BASE | {"c": "int", "b": "int"}, [record(2, c=2, b=20), record(3, c=3, b=30)]),
+            (3, "f", 3, BASE | {"c": "int", "a": "int"}, [record(3, c=3, a=30), record(4, c=4, a=40)]),
+        ],
+    )
+    changes, mapping = mapped(f, c, r, [])
+    assert rows(changes, "old_name", "new_name") == [("a", "c"), ("b", "a")]
+    got = rows(table_of(f, r, mapping), *(x for x in ("a", "b")))
+    assert got == [(1, 10), (2, 20), (3, 30), (4, 40)]
+
+
+def test_a_name_that_comes_again_is_numbered(spark):
+    f, c, r = lake(spark, [(1, "f", 1, BASE | {"a": "int"}, [record(1, a=1)]), (2, "f", 2, BASE | {"b": "int", "a": "int"}, [record(1, b=1, a=5)]), (3, "f", 3, BASE | {"b": "int"}, [record(1, b=1)])])
+    changes = spark.createDataFrame([(2, "renamed", "a", "b", None, None), (2, "added", "", "a", None, None), (3, "removed", "a", "", None, None)], "file_id bigint, change_kind string, old_name string, new_name string, old_type string, new_type string")
+    mapping = column_mapping(lineages(f, c, changes), [])
+    assert rows(mapping.where("name in ('a', 'b')"), "file_id", "name", "canonical") == [(1, "a", "a"), (2, "a", "a__2"), (2, "b", "a"), (3, "b", "a")]
 
 
 def test_chains_of_names_meet_in_one(spark):
-    c = spark.createDataFrame([(1, i, n, "double") for i, n in enumerate(("Close", "close", "last", "px_last", "shoupan", "closing_price", "vwap"))], COLUMNS)
-    r = spark.createDataFrame([("Close", "last"), ("last", "px_last"), ("closing_price", "shoupan"), ("close", "closing_price"), ("px_last", "close")], "old_name string, new_name string")
-    assert {x.canonical for x in column_names(c, r, ["close"]).toLocalIterator()} == {"close", "vwap"}
+    names = ["Close", "last", "px_last", "shoupan", "closing_price"]
+    deliveries = [(i, "f", i + 1, BASE | {n: "double"}, [record(i, **{n: 1.0 * i}), record(i + 1, **{n: i + 1.0})]) for i, n in enumerate(names, 1)] + [(99, "g", 1, BASE | {"close": "double", "vwap": "double"}, [])]
+    _, mapping = mapped(*lake(spark, deliveries), ["close"])
+    assert {x.canonical for x in mapping.toLocalIterator()} == {"close", "vwap", "symbol", "trade_date"} and not mapping.where("clash").count()
+
+
+def test_log_is_ordered_and_types_widen(spark):
+    f, c, r = lake(spark, [(3, "f", 1, BASE | {"v": "int"}, []), (1, "f", 2, BASE | {"v": "double"}, []), (2, "f", 40, BASE | {"v": "int", "w": "date"}, []), (7, "g", 2, BASE, []), (8, "g", 3, BASE | {"w": "text"}, [])])
+    log = change_log(*mapped(f, c, r, []))
+    assert rows(log, "feed", "change_no", "file_id", "change_kind", "union_type") == [("f", 1, 1, "retyped", "double"), ("f", 2, 2, "added", "date"), ("f", 3, 2, "retyped", "double"), ("g", 1, 8, "added", "string")]
+    empty = change_log(*mapped(f.limit(0), c.limit(0), r.limit(0), []))
+    assert empty.count() == 0
