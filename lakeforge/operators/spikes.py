@@ -11,7 +11,8 @@ Each series (one symbol's readings from one source) is judged by itself:
 
 Defined results: null readings are skipped; of several readings of one day the latest fetched is the series' and the
 least and greatest are tested against the same level; a change of level that lasts is no spike, nor is one at the end
-of a series that is not back yet; series of fewer than ``min_length`` readings are held against physical limits only;
+of a series that is not back yet; series of fewer than ``min_length`` readings are judged by a given scale, those of fewer than three against physical
+limits only;
 null symbols, sources and dates group like others (null dates are judged by physical limits only).
 
 A day's rows are folded before the shuffle, so a series has at most one row a session, however hot its key; series
@@ -31,6 +32,8 @@ from lakeforge.functions.joins import null_safe_join
 from lakeforge.session import cut
 
 PHYSICAL_LIMIT = 50_000.0
+#: Usual movement (of the logarithm) assumed for series of fewer than ``min_length`` readings.
+SHORT_SCALE = 0.05
 _OUT = "symbol string, source string, trade_date date, kind string, repeats double"
 
 
@@ -69,9 +72,10 @@ def find_spikes(x: np.ndarray, moving: np.ndarray, threshold: float = 8.0, max_p
         before = np.concatenate(([0.0], np.where(use, r - centre, 0.0)))[: len(r)]
         e = r - centre - phi * before
         found = False
+        judged = 0  # changes beside a spike of this round are judged in the next, on the cleaned series
         for i in np.flatnonzero(np.abs(e) > threshold * scale):
             t = i + 1  # the reading after the change
-            if spike[t] or shifted[t]:
+            if spike[t] or shifted[t] or t <= judged:
                 continue
             level = x[t - 1]
             back = most = 0
@@ -94,8 +98,7 @@ def find_spikes(x: np.ndarray, moving: np.ndarray, threshold: float = 8.0, max_p
             else:  # level shift
                 shifted[t] = True
             found = True
-            if back or most:
-                break
+            judged = t + max(back, most) + 1
     return spike, x, scale
 
 
@@ -122,10 +125,11 @@ def judge(v: np.ndarray, lo: np.ndarray, hi: np.ndarray, moving: np.ndarray, thr
     """(spikes, stuck, share of repeats) of one series in time order."""
     n = len(v)
     spike, stuck = np.zeros(n, bool), np.zeros(n, bool)
-    if n < min_length:
+    if n < 3:
         return spike, stuck, np.nan
     x = np.log(v)
-    spike, clean, scale = find_spikes(x, moving, threshold)
+    # a short series does not say how it usually moves: it is judged by a scale given for such
+    spike, clean, scale = find_spikes(x, moving, threshold, floor=1e-5 if n >= min_length else SHORT_SCALE)
     for other in (lo, hi):  # further readings of the day, against the series' own level
         away = np.abs(np.log(other) - clean) > threshold * scale
         step = np.maximum(np.abs(np.diff(clean, prepend=clean[0])), np.abs(np.diff(clean, append=clean[-1])))

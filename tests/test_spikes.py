@@ -99,3 +99,19 @@ def test_neighbouring_spikes_of_unequal_size_are_all_found():
         x[100 : 100 + len(patch)] += np.log(np.array(patch) / 50)
         spike, _, _ = find_spikes(x, np.ones(200, bool))
         assert np.flatnonzero(spike).tolist() == list(range(100, 100 + len(patch)))
+
+
+def test_a_short_series_is_judged_by_a_given_scale(spark):
+    assert kinds(implausible(series(spark, [50.0, 50.5, 500.0, 50.2, 50.1, 51.0]), "close", "volume")) == {(2, "spike")}
+    assert kinds(implausible(series(spark, [50.0, 52.0, 56.0, 53.0]), "close", "volume")) == set()
+
+
+def test_many_spikes_end_in_few_rounds():
+    import time
+
+    x = np.cumsum(np.random.default_rng(4).normal(0, 0.01, 20_000))
+    at = np.arange(40, 20_000, 25)
+    x[at] += 1.0
+    t = time.perf_counter()
+    spike, _, _ = find_spikes(x, np.ones(20_000, bool))
+    assert np.flatnonzero(spike).tolist() == at.tolist() and time.perf_counter() - t < 5
