@@ -19,3 +19,16 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
         # a key is null on one side only where that side is missing
         joined = joined.withColumns({k: F.coalesce(k, "_r_" + k) for k in keys})
     return joined.drop(*("_r_" + k for k in keys))
+
+
+#: Buckets of ``possible``; they bound what it broadcasts: so many numbers at most, whatever the size of the tables.
+BUCKETS = 1 << 20
+
+
+def possible(df: DataFrame, keys: DataFrame, key: list[str], buckets: int = BUCKETS) -> DataFrame:
+    """The rows whose key may be one of ``keys``, and some others: those whose hash falls into a bucket of one of them.
+
+    For use before the shuffle of an exact step, which then moves few rows where the keys are few."""
+    bucket = F.pmod(F.xxhash64(*key), F.lit(buckets)).alias("_bucket")
+    hit = keys.select(bucket).distinct()
+    return df.select("*", bucket).join(F.broadcast(hit), "_bucket", "left_semi").drop("_bucket")

@@ -22,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakeforge.functions.columns import relative_gap_over
-from lakeforge.functions.joins import null_safe_join
+from lakeforge.functions.joins import null_safe_join, possible
 from lakeforge.session import cut
 
 
@@ -85,8 +85,8 @@ def differences(left: DataFrame, right: DataFrame, key: list[str], values: list[
     keys = cut(unmatched_keys(current_hashes(left, key, values), current_hashes(right, key, values), key, head, period))
     missing = keys.where("l is null or r is null").select(*key, F.when(F.col("r").isNull(), names[0]).otherwise(names[1]).alias("diff_kind"), F.lit("").alias("field_name"))
     asked = keys.where("l is not null and r is not null").select(*key)
-    # the values of few keys: Spark sends these to the rows where they are small enough, and sorts both sides where not
-    l, r = (current_rows(null_safe_join(x, asked, key, "left_semi"), key, values) for x in (left, right))
+    # only rows that may have such a key are shuffled with their values
+    l, r = (current_rows(null_safe_join(possible(x, asked, key), asked, key, "left_semi"), key, values) for x in (left, right))
     return missing.unionByName(_compared(l, r, key, values, names, tolerance, "inner"))
 
 
