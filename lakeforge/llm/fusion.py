@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeforge.functions.columns import version_number
+from lakeforge.functions.joins import possible
 from lakeforge.operators.best import NEVER, fetch_order, with_trust
 from lakeforge.session import cut
 
@@ -37,7 +38,9 @@ def claims(rows: DataFrame, key: list[str], fields: dict[str, Column], trust: Da
     """Key, field_name and the array of claims (one a source) of each field, in groups of ``least_rows`` rows or more.
 
     fields: by name, the value a row claims (null for none)."""
-    seen = with_trust(rows, trust).withColumns({"_n": F.coalesce(version_number("data_version"), F.lit(-1)), "_v": F.coalesce("data_version", F.lit("")), "_at": fetch_order()})
+    many = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") >= least_rows)
+    # rows of groups that are surely smaller are left out before they are shuffled with their fields
+    seen = with_trust(possible(rows, many, key), trust).withColumns({"_n": F.coalesce(version_number("data_version"), F.lit(-1)), "_v": F.coalesce("data_version", F.lit("")), "_at": fetch_order()})
     cell = lambda f, v: F.max(F.when(v.isNotNull(), F.struct("_n", "_v", "_at", F.col("data_version").alias("_dv"), v.alias("_value")))).alias("_f_" + f)
     folded = seen.groupBy(*key, "source").agg(F.count(F.lit(1)).alias("_rows"), F.min("_trust").alias("_trust"), *(cell(f, v) for f, v in fields.items()))
     names = ["_f_" + f for f in fields]
