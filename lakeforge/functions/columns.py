@@ -33,3 +33,31 @@ def relative_gap_over(a: Column, b: Column, tolerance: float) -> Column:
 
 def any_of(conditions: list[Column]) -> Column:
     return reduce(lambda x, y: x | y, conditions, F.lit(False))
+
+
+#: The exchange's time zone, and when a session's bars are settled.
+ZONE, SETTLED = "Asia/Shanghai", "15:30:00"
+
+
+def local_date(instant: Column | str, zone: str = ZONE) -> Column:
+    return F.to_date(F.from_utc_timestamp(instant, zone))
+
+
+def session_final(day: Column | str, now: Column | str, settled: str = SETTLED, zone: str = ZONE) -> Column:
+    """Whether a session's rows were settled at an instant: any day but the local one, and that one from ``settled`` on."""
+    day = F.col(day) if isinstance(day, str) else day
+    local = F.from_utc_timestamp(now, zone)
+    return (day != F.to_date(local)) | (F.date_format(local, "HH:mm:ss") >= settled)
+
+
+def factor_of(value: Column | str, adjust_type: Column | str) -> Column:
+    """A vendor's cumulative factor as a multiplier: qfq values are divisors; null for what is not positive and finite."""
+    v = (F.col(value) if isinstance(value, str) else value).cast("double")
+    kind = F.col(adjust_type) if isinstance(adjust_type, str) else adjust_type
+    good = ~F.isnan(v) & (v > 0) & (v < float("inf"))
+    return F.when(good, F.when(kind == "qfq", F.try_divide(F.lit(1.0), v)).otherwise(v))
+
+
+def tone(probability: Column | str) -> Column:
+    """A probability of good news as a score from -1 to 1."""
+    return 2 * (F.col(probability) if isinstance(probability, str) else probability) - 1

@@ -34,8 +34,8 @@ def lock_path(root: str) -> str:
 class Lake:
     """Datasets under ``<root>/<layer>/<dataset>``, in files of any period directories or none."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, prefixes: dict[str, tuple[str, ...]] = R.STOCK_PREFIXES):
+        self.spark, self.root, self.prefixes = spark, root.rstrip("/"), prefixes
 
     def path(self, spec: Dataset) -> str:
         return f"{self.root}/{spec.layer}/{spec.name}"
@@ -120,14 +120,14 @@ class Lake:
             if strict:
                 raise R.UniverseCoverageError("a strict universe needs instruments")
             return rows
-        return R.in_universe(rows, instruments, self._optional("trading_status"), strict)
+        return R.in_universe(rows, instruments, self._optional("trading_status"), strict, self.prefixes)
 
     def tradable_on(self, day: str, strict: bool = False) -> DataFrame | None:
         """Symbols that may be traded on a day; None where there are no instruments."""
         instruments = self._optional("instruments")
         if instruments is None:
             return None
-        valid = instruments.where(R.in_stock_universe("symbol")).where(R.listed_on(F.lit(day).cast("date"))).select("symbol")
+        valid = instruments.where(R.in_stock_universe("symbol", self.prefixes)).where(R.listed_on(F.lit(day).cast("date"))).select("symbol")
         status = self._optional("trading_status")
         if status is None:
             return valid
@@ -251,8 +251,8 @@ class Lake:
             R.canonical(rows, list(spec.key)).createOrReplaceTempView(spec.name)
             made.append(spec.name)
         bars, factors = self.spark.table("daily_bars"), self.spark.table("adj_factors")
-        both = R.adjusted(bars, factors, "qfq", "global")
-        for view, df in (("daily_bars_hfq", R.adjusted(bars, factors)), ("daily_bars_qfq", both), ("daily_bars_adj", both)):
+        qfq = R.adjusted(bars, factors, "qfq", "global")
+        for view, df in (("daily_bars_hfq", R.adjusted(bars, factors)), ("daily_bars_qfq", qfq), ("daily_bars_adj", R.both_adjusted(bars, factors))):
             df.createOrReplaceTempView(view)
             made.append(view)
         return made

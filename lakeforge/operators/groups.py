@@ -106,16 +106,35 @@ def capped_findings(findings: DataFrame, by: str, order: list[Column], cap: int)
     return ranked.where(F.col("rn") <= cap).drop("rn").withColumn("hidden", F.lit(0).cast("bigint")).unionByName(rest, allowMissingColumns=True)
 
 
+def _stabbed(spans: DataFrame, as_of: DataFrame) -> DataFrame:
+    """spans (with start_date and end_date, null for an open end) for each as_of date in [start_date, end_date).
+
+    Dates are numbered, a span is turned into the numbers it holds and exploded, so no span meets a date outside it.  All
+    tables of dates are bounded by the calendar."""
+    dates = as_of.select("as_of_date").where("as_of_date is not null").distinct()
+    number = dates.select("as_of_date", F.row_number().over(W.orderBy("as_of_date")).alias("_no"))
+    days = spans.select(F.col("start_date").alias("_day")).unionByName(spans.select(F.col("end_date").alias("_day"))).where("_day is not null").distinct()
+    marks = days.withColumn("_is", F.lit(0)).unionByName(dates.select(F.col("as_of_date").alias("_day"), F.lit(1).alias("_is")))
+    # how many dates lie before a day: a date counts for the days after it
+    before = marks.groupBy("_day").agg(F.max("_is").alias("_is")).select("_day", (F.sum("_is").over(W.orderBy("_day")) - F.col("_is")).alias("_before"))
+    total = dates.agg(F.count(F.lit(1)).alias("_total"))
+    lo, hi = (F.broadcast(before.select(F.col("_day").alias(c), F.col("_before").alias(n))) for c, n in (("start_date", "_lo"), ("end_date", "_hi")))
+    placed = spans.where("start_date is not null").join(lo, "start_date").join(hi, "end_date", "left").join(F.broadcast(total)).withColumn("_hi", F.when(F.col("end_date").isNull(), F.col("_total")).otherwise(F.col("_hi")))
+    held = placed.where("_lo < _hi").select(*spans.columns, F.explode(F.sequence(F.col("_lo") + 1, F.col("_hi"))).alias("_no"))
+    return held.join(F.broadcast(number), "_no").drop("_no")
+
+
 def latest_intervals(starts: DataFrame, as_of: DataFrame) -> DataFrame:
     """For each as_of and symbol the latest row that starts on or before it (open-ended intervals)."""
-    pairs = starts.join(F.broadcast(as_of), F.col("start_date") <= F.col("as_of_date"))
     rest = [c for c in starts.columns if c not in ("symbol", "start_date")]
-    return pairs.groupBy("symbol", "as_of_date").agg(F.max(F.struct("start_date", *rest)).alias("r")).select("symbol", "as_of_date", *(F.col("r")[c].alias(c) for c in ("start_date", *rest)))
+    one = starts.where("start_date is not null").groupBy("symbol", "start_date").agg(F.max(F.struct(*rest)).alias("r"))
+    spans = one.withColumn("end_date", F.lead("start_date").over(W.partitionBy("symbol").orderBy("start_date")))
+    return _stabbed(spans, as_of).select("symbol", "as_of_date", "start_date", *(F.col("r")[c].alias(c) for c in rest))
 
 
 def stabbed_intervals(intervals: DataFrame, as_of: DataFrame) -> DataFrame:
     """Half-open intervals [start_date, end_date) that hold each as_of; an open end holds for good."""
-    return intervals.join(F.broadcast(as_of), (F.col("start_date") <= F.col("as_of_date")) & (F.col("end_date").isNull() | (F.col("as_of_date") < F.col("end_date")))).distinct()
+    return _stabbed(intervals.select("*"), as_of).distinct()
 
 
 def month_ends(calendar: DataFrame) -> DataFrame:

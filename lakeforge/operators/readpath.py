@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeforge.functions.joins import null_safe_join
 from lakeforge.operators.asof import last_known
+from lakeforge.partitions import parse
 
 PRICE_COLUMNS = ("open", "high", "low", "close", "price")
 
@@ -85,6 +86,27 @@ def adjusted(bars: DataFrame, factors: DataFrame, how: str = "hfq", anchor: str
     return out.drop("_ratio", "factor", "anchor")
 
 
+def both_adjusted(bars: DataFrame, factors: DataFrame) -> DataFrame:
+    """Adds hfq_<price>, qfq_<price> (by the symbol's last factor) and adj_is_exact in one pass.  A bar without a factor takes 1."""
+    f = factors.where("adjust_type = 'hfq'").select("symbol", "trade_date", "factor")
+    anchors = f.groupBy("symbol").agg(F.max_by("factor", "trade_date").alias("_anchor"))
+    out = bars.join(f, ["symbol", "trade_date"], "left").join(anchors, "symbol", "left")
+    ratio = F.try_divide("factor", "_anchor")
+    prices = [c for c in PRICE_COLUMNS if c in bars.columns]
+    out = out.withColumns({"hfq_" + c: F.col(c) * F.coalesce("factor", F.lit(1.0)) for c in prices} | {"qfq_" + c: F.col(c) * F.coalesce(ratio, F.lit(1.0)) for c in prices} | {"adj_is_exact": ratio.isNotNull()})
+    return out.drop("factor", "_anchor")
+
+
+def period_window(df: DataFrame, column: str, period: str) -> DataFrame:
+    """Rows of one period by its label (day, month, quarter or year); columns that hold labels are compared as text."""
+    if dict(df.dtypes)[column] == "string":
+        return df.where(F.col(column) == period)
+    p = parse(period)
+    if p is None:
+        raise ReaderError(f"{period} is no period")
+    return date_range(df, column, p.start.isoformat(), p.end.isoformat())
+
+
 def _starts(code: Column, exchange: Column, prefixes: dict[str, tuple[str, ...]]) -> Column:
     out = F.lit(False)
     for ex, ps in prefixes.items():

@@ -67,9 +67,15 @@ def heatmap(bars: DataFrame, calendar: DataFrame) -> DataFrame:
     return cells.withColumn("cell", F.when(F.col("present") == 0, "none").when(F.col("present") >= F.col("sessions"), "full").otherwise("part"))
 
 
+def board_label(code: str) -> Column:
+    """``BK`` and the number, in four digits or as many as it has."""
+    text = F.col(code).cast("string")
+    return F.concat(F.lit("BK"), F.when(F.length(text) < 4, F.lpad(text, 4, "0")).otherwise(text))
+
+
 def board_codes(sectors: DataFrame, boards: DataFrame, normal: Column, board_normal: Column) -> DataFrame:
-    """Sectors by their code ``BK`` + four digits matched to boards by number; names that differ are marked."""
-    b = boards.select(F.concat(F.lit("BK"), F.lpad(F.col("board_code").cast("string"), 4, "0")).alias("sector_code"), "board_code", "board_name", board_normal.alias("_b"))
+    """Sectors by their code (``board_label``) matched to boards by number; names that differ are marked."""
+    b = boards.select(board_label("board_code").alias("sector_code"), "board_code", "board_name", board_normal.alias("_b"))
     m = sectors.withColumn("_n", normal).join(b, "sector_code", "left")
     kind = F.when(F.col("board_code").isNull(), "predicted_no_members").when(F.col("_n") == F.col("_b"), "identity").otherwise("identity_name_mismatch")
     return m.select("sector_code", "sector_name", "board_code", "board_name", kind.alias("match_type"))

@@ -100,7 +100,10 @@ def ohlc_invariants(spark: SparkSession, d: str) -> DataFrame:
 
 
 def row_mutation_prorated(spark: SparkSession, d: str) -> DataFrame:
-    return Q.row_mutations(table(spark, d, "trading_status"), F.date_format("trade_date", "yyyy-MM"), F.col("trade_date"), 0.9, 5)
+    """Months of statuses against the month before, as seen on the last day there is."""
+    rows = table(spark, d, "trading_status").where("trade_date is not null")
+    last = rows.agg(F.max("trade_date").alias("d")).first().d
+    return Q.row_mutations(rows, F.date_format("trade_date", "yyyy-MM"), F.lit(last), 0.9, 5).withColumn("elapsed", F.round("elapsed", 8))
 
 
 def fragmentation(spark: SparkSession, d: str) -> DataFrame:
@@ -186,9 +189,11 @@ def label_differences(spark: SparkSession, d: str) -> DataFrame:
 
 
 def delisted_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """Every symbol judged as if it had ended on its last bar, or (even codes) a month before; only those with statuses are catalogued."""
     code = F.substring("symbol", 1, 6).cast("int")
-    terminal = table(spark, d, "daily_bars").where(code % 3 == 0).groupBy("symbol").agg(F.max("trade_date").alias("t")).select("symbol", F.when(code % 2 == 0, F.col("t")).otherwise(F.date_sub("t", 31)).alias("terminal"))
-    return Q.delisted_coverage(terminal, R.traded(bars(spark, d)), instruments(spark, d).where(code % 9 != 0), F.lit("2024-12-31").cast("date")).select("symbol", "state")
+    terminal = table(spark, d, "daily_bars").groupBy("symbol").agg(F.max("trade_date").alias("t")).select("symbol", F.when(code % 2 == 0, F.date_sub("t", 31)).otherwise(F.col("t")).alias("terminal"))
+    known = instruments(spark, d).join(table(spark, d, "trading_status").select("symbol"), "symbol", "left_semi")
+    return Q.delisted_coverage(terminal, R.traded(bars(spark, d)), known, F.lit("2024-12-31").cast("date")).select("symbol", "state")
 
 
 def receipt_coverage(spark: SparkSession, d: str) -> DataFrame:
@@ -242,7 +247,9 @@ def oracle_sql() -> dict[str, str]:
         "nonfinite": "select symbol, count(*) as n from daily_bars where volume = 0 or isnan(close) or isinf(close) group by 1",
         "ohlc_invariants": """select symbol, trade_date, source, open, high, low, close, volume from daily_bars where coalesce(open <= 0, false) or coalesce(high <= 0, false) or coalesce(low <= 0, false) or coalesce(close <= 0, false) or coalesce(volume < 0, false) or coalesce(amount < 0, false)
   or (coalesce(volume > 0, true) and (coalesce(high < greatest(open, close, low), false) or coalesce(low > least(open, close, high), false)))""",
-        "row_mutation_prorated": "select period, n, prev_n, symbols, prev_symbols from (select *, lag(n) over (order by period) as prev_n, lag(symbols) over (order by period) as prev_symbols from (select strftime(trade_date, '%Y-%m') as period, count(*) as n, count(distinct symbol) as symbols from trading_status group by 1)) where prev_n >= 5 and (n < 0.9 * prev_n or symbols < 0.9 * prev_symbols)",
+        "row_mutation_prorated": """select period, n, prev_n, symbols, prev_symbols, round(elapsed, 8) as elapsed from (select *, case when last >= a and last < a + interval 1 month then (last - a + 1) / (cast(a + interval 1 month as date) - a) else 1.0 end as elapsed
+  from (select *, lag(n) over (order by period) as prev_n, lag(symbols) over (order by period) as prev_symbols, cast(period || '-01' as date) as a from (select strftime(trade_date, '%Y-%m') as period, count(*) as n, count(distinct symbol) as symbols from trading_status where trade_date is not null group by 1)), (select max(trade_date) as last from trading_status))
+  where prev_n >= 5 and (n < 0.9 * prev_n * elapsed or prev_symbols >= 5 and symbols < 0.9 * prev_symbols * elapsed)""",
         "fragmentation": "select dataset, count(distinct p) as partitions, cast(sum(n_rows) as bigint) as n_rows from (select dataset, n_rows, regexp_extract(file_path, 'trade_date=([^/]*)/', 1) as p from lake_files) group by 1 having count(distinct p) >= 30 and sum(n_rows) / count(distinct p) < 500",
         "mixed_granularity": "select dataset, case when regexp_full_match(p, '\\d{4}-\\d{2}-\\d{2}') then 'day' when regexp_full_match(p, '\\d{4}-\\d{2}') then 'month' when regexp_full_match(p, '\\d{4}Q[1-4]') then 'quarter' when regexp_full_match(p, '\\d{4}') then 'year' end as granularity, count(distinct p) as partitions, count(*) as files from (select dataset, regexp_extract(file_path, 'trade_date=([^/]*)/', 1) as p from lake_files) group by 1, 2",
         "valuation_coverage": f"select trade_date, n, covered, round(ratio, 8) as ratio from ({_COVER})",
@@ -271,10 +278,11 @@ def oracle_sql() -> dict[str, str]:
             """select t.symbol, case when last is null then case when terminal <= date '2024-12-31' then 'missing_bars' else 'unknown_overlap' end
   when terminal <= date '2024-12-31' and last <> terminal and not coalesce(delist_date = terminal + 1 and terminal - last between 1 and 3, false) then 'terminal_mismatch'
   when known is null then 'missing_instrument' when delist_date is null or delist_date < terminal then 'invalid_delist_date' else 'verified' end as state
-  from t left join (select symbol, max(trade_date) as last from bars where volume > 0 or volume is null group by 1) s using (symbol) left join (select *, 1 as known from i where cast(substr(symbol, 1, 6) as int) % 9 <> 0) k using (symbol)""",
-            t="select symbol, case when cast(substr(symbol, 1, 6) as int) % 2 = 0 then max(trade_date) else max(trade_date) - 31 end as terminal from daily_bars where cast(substr(symbol, 1, 6) as int) % 3 = 0 group by symbol", bars=BARS, i=INSTRUMENTS,
+  from t left join (select symbol, max(trade_date) as last from bars where volume > 0 or volume is null group by 1) s using (symbol) left join (select *, 1 as known from i where symbol in (select symbol from trading_status)) k using (symbol)""",
+            t="select symbol, case when cast(substr(symbol, 1, 6) as int) % 2 = 0 then max(trade_date) - 31 else max(trade_date) end as terminal from daily_bars group by symbol", bars=BARS, i=INSTRUMENTS,
         ),
         "receipt_coverage": "select source as receipt_id from trading_status r join (select distinct symbol from trading_status where source = 'baostock' and symbol is not null) u using (symbol) group by 1 having count(distinct symbol) = (select count(distinct symbol) from trading_status where source = 'baostock')",
+        "deterministic_sample": f"select symbol, trade_date, close from ({BARS}) order by md5(symbol || '|' || cast(trade_date as varchar)), symbol, trade_date limit 500",
         "partial_symbols": f"select * from ({_HOLES}) where present < 0.97 * expected",
         "placeholder_share": "select source, count(*) as n, round(avg(case when open = high and high = low and low = close and volume = 0 then 1 else 0 end), 8) as share from daily_bars group by 1",
         "fill_ratio": "select symbol, count(*) as n, count(item_value) as filled, round(count(item_value) / count(*), 8) as ratio from financial_statement_items group by 1",

@@ -51,19 +51,6 @@ def calendar(spark: SparkSession, d: str) -> DataFrame:
     return R.traded(table(spark, d, "daily_bars")).select("trade_date").distinct()
 
 
-def scan_range(spark: SparkSession, d: str) -> DataFrame:
-    return R.date_range(table(spark, d, "daily_bars"), "trade_date", "2019-01-01", "2021-12-31").select("symbol", "trade_date", "close", "source")
-
-
-def scan_symbols(spark: SparkSession, d: str) -> DataFrame:
-    first = [r.symbol for r in table(spark, d, "daily_bars").select("symbol").distinct().orderBy("symbol").limit(3).toLocalIterator()]
-    return R.symbols_in(table(spark, d, "daily_bars"), first).select("symbol", "trade_date", "close")
-
-
-def scan_pruned_empty(spark: SparkSession, d: str) -> DataFrame:
-    return R.date_range(table(spark, d, "daily_bars"), "trade_date", "1980-01-01", "1980-12-31").select("symbol", "trade_date", "close")
-
-
 def canonical_dedupe(spark: SparkSession, d: str) -> DataFrame:
     return bars(spark, d).select("symbol", "trade_date", F.round("close", 6).alias("close"), "volume", "source", "data_version", F.unix_seconds("fetched_at").alias("fetched_epoch"))
 
@@ -91,9 +78,7 @@ def adjust_qfq_window(spark: SparkSession, d: str) -> DataFrame:
 
 
 def adjust_view_global_anchor(spark: SparkSession, d: str) -> DataFrame:
-    h = R.adjusted(bars(spark, d), factors(spark, d)).select("symbol", "trade_date", F.col("adj_close").alias("hfq_close"))
-    q = R.adjusted(bars(spark, d), factors(spark, d), "qfq", "global").select("symbol", "trade_date", F.col("adj_close").alias("qfq_close"), "adj_is_exact")
-    return h.join(q, ["symbol", "trade_date"])
+    return R.both_adjusted(bars(spark, d), factors(spark, d)).select("symbol", "trade_date", "hfq_close", "qfq_close", "adj_is_exact")
 
 
 def adjust_missing_exact_flag(spark: SparkSession, d: str) -> DataFrame:
@@ -109,13 +94,6 @@ def universe_strict_missing(spark: SparkSession, d: str) -> DataFrame:
     return R.uncovered_pairs(kept, status(spark, d)).groupBy("symbol").agg(F.count(F.lit(1)).alias("missing"))
 
 
-def tradable_on_date(spark: SparkSession, d: str) -> DataFrame:
-    days = status(spark, d).select("trade_date").distinct()
-    valid = instruments(spark, d).where(R.in_stock_universe("symbol", TEST_PREFIXES))
-    ok = status(spark, d).where(~R.bad_status()).select("symbol", "trade_date")
-    return ok.join(valid, "symbol").where(R.listed_on("trade_date")).join(days, "trade_date").groupBy("trade_date").agg(F.count(F.lit(1)).alias("tradable"))
-
-
 def symbol_predicate(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "daily_bars").select("symbol").distinct().select("symbol", R.in_stock_universe("symbol").alias("all_a"), R.in_stock_universe("symbol", TEST_PREFIXES).alias("in_test"))
 
@@ -158,8 +136,8 @@ def gap_fill_missing(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     fs = (
-        scan_range, scan_symbols, scan_pruned_empty, canonical_dedupe, schema_try_cast, traded_only, adjust_hfq, adjust_qfq_window, adjust_view_global_anchor, adjust_missing_exact_flag,
-        universe_all_a, universe_strict_missing, tradable_on_date, symbol_predicate, pit_as_of, pit_all_vintages, pit_quarter_range, pit_items, pit_revision_size, asof_factor_steps, gap_fill_missing,
+        canonical_dedupe, schema_try_cast, traded_only, adjust_hfq, adjust_qfq_window, adjust_view_global_anchor, adjust_missing_exact_flag,
+        universe_all_a, universe_strict_missing, symbol_predicate, pit_as_of, pit_all_vintages, pit_quarter_range, pit_items, pit_revision_size, asof_factor_steps, gap_fill_missing,
     )
     return {f.__name__: f for f in fs}
 
@@ -179,9 +157,6 @@ def oracle_sql() -> dict[str, str]:
     hfq = f"bars left join (select symbol, trade_date, factor from ({FACTORS}) where adjust_type = 'hfq') f using (symbol, trade_date)"
     kept = f"select b.* from bars b join instruments i using (symbol) where {_ALL_A} and {_LISTED} and coalesce(least(open, high, low, close) > 0, true)"
     return {
-        "scan_range": "select symbol, trade_date, close, source from daily_bars where trade_date between date '2019-01-01' and date '2021-12-31'",
-        "scan_symbols": "select symbol, trade_date, close from daily_bars where symbol in (select distinct symbol from daily_bars order by 1 limit 3)",
-        "scan_pruned_empty": "select symbol, trade_date, close from daily_bars where trade_date between date '1980-01-01' and date '1980-12-31'",
         "canonical_dedupe": f"select symbol, trade_date, round(close, 6) as close, volume, source, data_version, cast(floor(epoch(fetched_at)) as bigint) as fetched_epoch from ({BARS})",
         "schema_try_cast": "select file_id, row_no, payload ->> '$.symbol' as symbol, try_cast(payload ->> '$.trade_date' as date) as trade_date, try_cast(payload ->> '$.open' as double) as open, case when regexp_matches(payload ->> '$.symbol', '^[0-9]+$') then try_cast(payload ->> '$.symbol' as bigint) end as not_a_number from vendor_records",
         "traded_only": f"select symbol, count(*) as n, min(trade_date) as first_date, max(trade_date) as last_date from ({BARS}) where volume > 0 or volume is null group by symbol",
@@ -199,7 +174,6 @@ def oracle_sql() -> dict[str, str]:
         "adjust_missing_exact_flag": with_parts(f"select symbol, count(*) filter (factor is not null) as exact, count(*) filter (factor is null) as inexact from {hfq} group by 1", bars=BARS),
         "universe_all_a": with_parts(f"select symbol, trade_date, close from ({kept}) k where not exists (select 1 from ({STATUS}) s where s.symbol = k.symbol and s.trade_date = k.trade_date and {_BAD})", bars=BARS, instruments=INSTRUMENTS),
         "universe_strict_missing": with_parts(f"select symbol, count(*) as missing from ({kept}) k where not exists (select 1 from trading_status s where s.symbol = k.symbol and s.trade_date = k.trade_date) group by 1", bars=BARS, instruments=INSTRUMENTS),
-        "tradable_on_date": with_parts(f"select trade_date, count(*) as tradable from ({STATUS}) s join instruments using (symbol) where not {_BAD} and {_ALL_A} and {_LISTED} group by 1", instruments=INSTRUMENTS),
         "symbol_predicate": f"select distinct symbol, not {_OUT} and {_STOCK} as all_a, {_ALL_A} as in_test from daily_bars",
         "pit_as_of": with_parts(f"select symbol, report_period, statement_type, item_code, item_value, announce_date from ({_KNOWN.format('2021-06-30', '')})", items=ITEMS),
         "pit_all_vintages": with_parts("select symbol, report_period, statement_type, item_code, announce_date, item_value from items where announce_date <= date '2021-06-30'", items=ITEMS),

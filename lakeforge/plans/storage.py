@@ -29,16 +29,11 @@ def compact_merge(spark: SparkSession, d: str) -> DataFrame:
 
 
 def instruments_merge(spark: SparkSession, d: str) -> DataFrame:
+    """Instruments listed before 2021 meet a delivery of those whose last bar is no older than mid-2019; the others were absent once."""
     i = instruments(spark, d)
-    code = F.substring("symbol", 1, 6).cast("int")
-    absences = i.where(code % 37 == 0).select("symbol", F.lit(1).alias("absences"))
-    return T.merged_instruments(i.where(code % 41 != 0), i.where(code % 37 != 0), absences, "2019-06-28")
-
-
-def repartition_labels(spark: SparkSession, d: str) -> DataFrame:
-    q = F.concat(F.year("trade_date"), F.lit("Q"), F.quarter("trade_date"))
-    t = table(spark, d, "trade_ticks").select("trade_date", period_label("trade_date", "month").alias("month"), period_label("trade_date", "year").alias("year"), q.alias("quarter"))
-    return t.groupBy("year", "quarter", "month").agg(F.count(F.lit(1)).alias("n"))
+    seen = i.join(table(spark, d, "daily_bars").where("trade_date >= date'2019-06-28'").select("symbol"), "symbol", "left_semi")
+    absences = i.join(seen.select("symbol"), "symbol", "left_anti").select("symbol", F.lit(1).alias("absences"))
+    return T.merged_instruments(i.where("list_date < date'2021-01-01'"), seen, absences, "2019-06-28")
 
 
 def stats_partitions(spark: SparkSession, d: str) -> DataFrame:
@@ -58,9 +53,10 @@ def heatmap_cells(spark: SparkSession, d: str) -> DataFrame:
 
 
 def sector_code_map(spark: SparkSession, d: str) -> DataFrame:
-    part = table(spark, d, "part").where("p_partkey < 9000")
-    sectors = part.where("p_partkey % 2 = 0").select(F.concat(F.lit("BK"), F.lpad(F.col("p_partkey").cast("string"), 4, "0")).alias("sector_code"), F.concat("p_name", F.lit(" board")).alias("sector_name"))
-    boards = part.where("p_partkey % 3 = 0").select(F.col("p_partkey").alias("board_code"), F.when(F.col("p_partkey") % 5 == 0, F.upper("p_name")).otherwise(F.col("p_name")).alias("board_name"))
+    """Parts as sectors, and those of the larger sizes as boards of the same number, some under another name."""
+    part = table(spark, d, "part")
+    sectors = part.select(T.board_label("p_partkey").alias("sector_code"), F.concat("p_name", F.lit(" board")).alias("sector_name"))
+    boards = part.where("p_size > 20").select(F.col("p_partkey").alias("board_code"), F.when(F.col("p_size") > 40, F.upper("p_name")).otherwise(F.col("p_name")).alias("board_name"))
     return T.board_codes(sectors, boards, F.replace("sector_name", F.lit(" board"), F.lit("")), F.col("board_name"))
 
 
@@ -125,7 +121,7 @@ def stream_compact_available_now(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     fs = (
-        compact_merge, instruments_merge, repartition_labels, stats_partitions, provenance_mix, provenance_buckets, heatmap_cells, sector_code_map, sector_fuzzy_routing, action_expand, related_symbols_explode,
+        compact_merge, instruments_merge, stats_partitions, provenance_mix, provenance_buckets, heatmap_cells, sector_code_map, sector_fuzzy_routing, action_expand, related_symbols_explode,
         keyword_sentiment, ordered_priority_topn, resolve_symbol, page_payload, top_liquid, purge_orphans, stream_compact_available_now,
     )
     return {f.__name__: f for f in fs}
@@ -134,7 +130,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     words = lambda w: " + ".join(f"case when contains(t, '{k}') then {x} else 0.0 end" for k, x in w.items())
     epoch = lambda c: f"cast(floor(epoch({c})) as bigint)"
-    code = "cast(substr(symbol, 1, 6) as int)"
     return {
         "compact_merge": f"select strftime(trade_date, '%Y-%m') as period, count(*) as n, cast(sum(volume) as bigint) as volume from ({BARS}) group by 1",
         "instruments_merge": with_parts(
@@ -144,9 +139,8 @@ def oracle_sql() -> dict[str, str]:
   (select *, coalesce(count(*) filter (absent) over () / nullif(count(*) filter (live) over (), 0), 0.0) as share from (select *, live and seen is null as absent from
   (select coalesce(o.symbol, n.symbol) as symbol, o.name as old_name, o.list_date as old_list, o.delist_date as old_delist, n.name as new_name, n.list_date as new_list, n.delist_date as new_delist, o.known, n.seen, a.absences as before,
   coalesce(o.known, false) and (o.delist_date is null or o.delist_date >= date '2019-06-28') as live from o full join n using (symbol) left join a on a.symbol = coalesce(o.symbol, n.symbol))))))""",
-            i=INSTRUMENTS, o=f"select *, true as known from i where {code} % 41 <> 0", n=f"select *, true as seen from i where {code} % 37 <> 0", a=f"select symbol, 1 as absences from i where {code} % 37 = 0",
+            i=INSTRUMENTS, o="select *, true as known from i where list_date < date '2021-01-01'", n="select *, true as seen from i where symbol in (select symbol from daily_bars where trade_date >= date '2019-06-28')", a="select symbol, 1 as absences from i where symbol not in (select symbol from n)",
         ),
-        "repartition_labels": "select strftime(trade_date, '%Y') as year, year(trade_date) || 'Q' || quarter(trade_date) as quarter, strftime(trade_date, '%Y-%m') as month, count(*) as n from trade_ticks group by 1, 2, 3",
         "stats_partitions": f"select strftime(trade_date, '%Y-%m') as partition, count(*) as n_rows, count(distinct symbol) as symbols, {epoch('max(fetched_at)')} as fetched_epoch from daily_bars group by 1",
         "provenance_mix": f"select strftime(trade_date, '%Y') as partition, source, data_version, count(*) as n_rows, {epoch('min(fetched_at)')} as first_epoch, {epoch('max(fetched_at)')} as last_epoch from daily_bars group by 1, 2, 3",
         "provenance_buckets": "select unit, cast(case unit when 'day' then trade_date when 'month' then date_trunc('month', trade_date) else date_trunc('year', trade_date) end as date) as bucket_date, source, count(*) as n_rows from (select * from daily_bars where trade_date is not null), (select case when count(distinct trade_date) <= 400 then 'day' when count(distinct date_trunc('month', trade_date)) <= 400 then 'month' else 'year' end as unit from daily_bars where trade_date is not null) group by 1, 2, 3",
@@ -156,8 +150,8 @@ def oracle_sql() -> dict[str, str]:
             h=f"select symbol, cast(date_trunc('month', trade_date) as date) as month_date, count(*) as present from (select distinct symbol, trade_date from ({BARS}) where volume > 0 or volume is null) group by 1, 2",
         ),
         "sector_code_map": """select s.sector_code, s.sector_name, b.board_code, b.board_name, case when b.board_code is null then 'predicted_no_members' when replace(s.sector_name, ' board', '') = b.board_name then 'identity' else 'identity_name_mismatch' end as match_type from
-  (select 'BK' || lpad(cast(p_partkey as varchar), 4, '0') as sector_code, p_name || ' board' as sector_name from part where p_partkey < 9000 and p_partkey % 2 = 0) s left join
-  (select p_partkey as board_code, case when p_partkey % 5 = 0 then upper(p_name) else p_name end as board_name from part where p_partkey < 9000 and p_partkey % 3 = 0) b on s.sector_code = 'BK' || lpad(cast(board_code as varchar), 4, '0')""",
+  (select 'BK' || case when length(cast(p_partkey as varchar)) < 4 then lpad(cast(p_partkey as varchar), 4, '0') else cast(p_partkey as varchar) end as sector_code, p_name || ' board' as sector_name from part) s left join
+  (select p_partkey as board_code, case when p_size > 40 then upper(p_name) else p_name end as board_name from part where p_size > 20) b on s.sector_code = 'BK' || case when length(cast(board_code as varchar)) < 4 then lpad(cast(board_code as varchar), 4, '0') else cast(board_code as varchar) end""",
         "sector_fuzzy_routing": with_parts(
             "select name, case when same > 0 then name when n = 1 then one end as target, case when same > 0 then 'exact' when n = 1 then 'contains' when n > 1 then 'ambiguous' else 'none' end as tier from (select n.name, count(w.name) as n, max(w.name) as one, count(*) filter (w.name = n.name) as same from n left join w on contains(n.name, w.name) group by 1)",
             n="select distinct industry_name as name from industry_members where industry_name is not null", w="select distinct name from (select unnest(string_split(name, ' ')) as name from n) where length(name) > 4",

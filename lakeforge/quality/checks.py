@@ -90,12 +90,27 @@ def bar_violations() -> Column:
     return F.coalesce(any_of([F.coalesce(p <= 0, F.lit(False)) for p in prices]) | F.coalesce(F.col("volume") < 0, F.lit(False)) | F.coalesce(F.col("amount") < 0, F.lit(False)) | F.coalesce(outside, F.lit(False)), F.lit(False))
 
 
-def row_mutations(df: DataFrame, period: Column, order: Column, ratio: float = 0.5, least: int = 50) -> DataFrame:
-    """Periods whose rows or symbols fall under ``ratio`` of the period before (in proportion to the share elapsed)."""
-    p = df.groupBy(period.alias("period")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("symbol").alias("symbols"), F.min(order).alias("o"))
+def elapsed_share(period: Column, as_of: Column) -> Column:
+    """The share of a period (day, month, quarter or year label) that has passed on a day; 1 for periods that are over or
+    have not begun, and for labels that are none."""
+    text = period.cast("string")
+    month = F.when(text.rlike(r"^\d{4}-\d{2}$"), F.concat(text, F.lit("-01"))).when(text.rlike(r"^\d{4}Q[1-4]$"), F.concat(F.substring(text, 1, 4), F.lit("-"), F.lpad((F.substring(text, 6, 1).cast("int") * 3 - 2).cast("string"), 2, "0"), F.lit("-01")))
+    start = month.when(text.rlike(r"^\d{4}$"), F.concat(text, F.lit("-01-01"))).try_cast("date")
+    months = F.when(text.rlike("^.{4}-"), 1).when(text.contains("Q"), 3).otherwise(12)
+    end = F.add_months(start, months)
+    inside = (as_of >= start) & (as_of < end)
+    return F.when(F.coalesce(inside, F.lit(False)), (F.datediff(as_of, start) + 1) / F.datediff(end, start)).otherwise(1.0)
+
+
+def row_mutations(df: DataFrame, period: Column, as_of: Column, ratio: float = 0.5, least: int = 50) -> DataFrame:
+    """Periods whose rows or symbols fall under ``ratio`` of the period before, in proportion to the share of the period that
+    has passed on ``as_of``."""
+    p = df.groupBy(period.alias("period")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("symbol").alias("symbols"))
     w = W.orderBy("period")  # one row a period
-    p = p.withColumn("prev_n", F.lag("n").over(w)).withColumn("prev_symbols", F.lag("symbols").over(w))
-    return p.where((F.col("prev_n") >= least) & ((F.col("n") < ratio * F.col("prev_n")) | (F.col("symbols") < ratio * F.col("prev_symbols")))).select("period", "n", "prev_n", "symbols", "prev_symbols")
+    p = p.withColumn("prev_n", F.lag("n").over(w)).withColumn("prev_symbols", F.lag("symbols").over(w)).withColumn("elapsed", elapsed_share(F.col("period"), as_of))
+    short = lambda now, before: F.col(now) < ratio * F.col(before) * F.col("elapsed")
+    found = p.where((F.col("prev_n") >= least) & (short("n", "prev_n") | ((F.col("prev_symbols") >= least) & short("symbols", "prev_symbols"))))
+    return found.select("period", "n", "prev_n", "symbols", "prev_symbols", "elapsed")
 
 
 def fragmentation(parts: DataFrame, rows_under: int = 50, partitions_over: int = 30) -> DataFrame:
@@ -215,7 +230,7 @@ def field_drift(primary: DataFrame, backup: DataFrame, key: list[str], fields: l
 
 def spread_sample(df: DataFrame, key: list[str], n: int) -> DataFrame:
     """The same ``n`` keys each time, spread by hash."""
-    return df.orderBy(F.xxhash64(*key), *key).limit(n)
+    return df.orderBy(F.md5(F.concat_ws("|", *(F.col(k).cast("string") for k in key))), *key).limit(n)
 
 
 # --- retired symbols
@@ -229,6 +244,10 @@ def retirement(bars: DataFrame, instruments: DataFrame, gap_days: int = 180) ->
     return r.withColumn("retired", F.datediff("lake_date", "last_date") > gap_days).select("symbol", "first_date", "last_date", "retired", F.col("delist_date").isNotNull().alias("marked"))
 
 
+#: Fixed values of the endings: days of a halt, worst return, return over the window and last price.
+HALT_DAYS, WORST, DECLINE, PENNY = 10, -0.25, -0.4, 2.0
+
+
 def ending_patterns(bars: DataFrame, window: int = 60, least: int = 30) -> DataFrame:
     """How each symbol's prices ended: the greatest gap, worst return and total return over its last bars, and a label."""
     w = W.partitionBy("symbol").orderBy(F.col("trade_date").desc())
@@ -240,8 +259,8 @@ def ending_patterns(bars: DataFrame, window: int = 60, least: int = 30) -> DataF
         F.min(F.when(inner, F.try_divide("close", "prev") - 1)).alias("worst_final_return"), (F.try_divide(F.min_by("close", "rn"), F.max_by("close", "rn")) - 1).alias("window_return"), F.min_by("close", "rn").alias("final_close"),
     )
     label = (
-        F.when(F.col("bars") < least, "insufficient").when((F.col("halt_gap_days") > 10) & (F.col("worst_final_return") < -0.25), "consolidation")
-        .when((F.col("window_return") < -0.4) & (F.col("final_close") < 2.0), "abrupt_decline").otherwise("abrupt_stable")
+        F.when(F.col("bars") < least, "insufficient").when((F.col("halt_gap_days") > HALT_DAYS) & (F.col("worst_final_return") < WORST), "consolidation")
+        .when((F.col("window_return") < DECLINE) & (F.col("final_close") < PENNY), "abrupt_decline").otherwise("abrupt_stable")
     )
     return g.withColumn("ending_pattern", label)
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from datetime import date
 from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeforge import swaps
 from lakeforge.lake import Lake
 from lakeforge.operators.storage import resolved
+from lakeforge.partitions import parse
 from lakeforge.registry import DATASETS, PROVENANCE, dataset
 
 DEFAULT_ROWS, MOST_ROWS = 200, 2000
@@ -55,3 +59,51 @@ def query_dataset(lake: Lake, name: str, limit: int = DEFAULT_ROWS, offset: int
 
 def run_sql(lake: Lake, text: str, limit: int = DEFAULT_ROWS, offset: int = 0) -> dict[str, Any]:
     return payload(lake.sql(text), limit, offset)
+
+
+def gap_meaning(name: str) -> str:
+    """Whether a day without rows is a fault, or the shape of a dataset that is not daily or only takes snapshots."""
+    spec = dataset(name)
+    daily = int(spec.options.get("max_staleness_days", "0")) <= 1
+    return "fault" if daily and "snapshot" not in spec.flags and spec.history_mode != "snapshot_only" else "cadence"
+
+
+def health(lake: Lake, anchor: date, marks: dict[str, date] = {}) -> dict[str, Any]:
+    """How many datasets are fresh, stale, empty, or have no measure, and which."""
+    of: dict[str, str] = {}
+    for row in lake.catalogue():
+        spec = dataset(row["dataset"])
+        last = marks.get(spec.name) or row["last"]
+        stale = spec.is_stale(last, anchor) if isinstance(last, date) else None
+        of[spec.name] = "empty" if row["last"] is None and not swaps.entries(lake.spark, lake.path(spec)) else "n/a" if stale is None else "stale" if stale else "fresh"
+    return {
+        "anchor": anchor, "datasets": len(of), "counts": dict(Counter(of.values())), "stale": sorted(n for n, s in of.items() if s == "stale"),
+        "empty_required": sorted(n for n, s in of.items() if s == "empty" and dataset(n).required), "empty_optional": sorted(n for n, s in of.items() if s == "empty" and not dataset(n).required),
+    }
+
+
+def stale_datasets(lake: Lake, anchor: date, marks: dict[str, date]) -> list[str]:
+    """Datasets with data and a mark that lag behind; derived ones are computed, not fetched."""
+    return [n for n in health(lake, anchor, marks)["stale"] if n in marks and dataset(n).layer != "derived"]
+
+
+def date_options(lake: Lake, name: str, limit: int = 400) -> dict[str, Any]:
+    """The values a control for dates may offer (only periods that exist, the latest first), and its kind."""
+    spec = dataset(name)
+    if spec.partition_col is None:
+        return {"kind": "none", "column": spec.date_col, "values": [], "total": 0}
+    every = swaps.entries(lake.spark, lake.path(spec))
+    values = sorted({e.name.split("=", 1)[1] for e in every if e.is_dir and "=" in e.name and parse(e.name.split("=", 1)[1])}, reverse=True)
+    kind = "report_period" if spec.partition_col == "report_period" else "period" if spec.granularity != "day" else "trading_day" if spec.partition_col == "trade_date" else "event_day"
+    return {"kind": kind, "column": spec.date_col, "values": values[:limit], "total": len(values)}
+
+
+def period_rows(lake: Lake, name: str, period: str, limit: int = DEFAULT_ROWS, offset: int = 0, **how: Any) -> dict[str, Any]:
+    """One page of a period's rows with their provenance."""
+    spec = dataset(name)
+    p = parse(period)
+    if p is None:
+        raise ValueError(f"{period} is no period")
+    text = spec.partition_col == "report_period"
+    rows = lake.load(name, ordered=True, **({} if text else {"start": p.start.isoformat(), "end": p.end.isoformat()}), **how)
+    return payload(rows.where(F.col("report_period") == period) if text else rows, limit, offset)
