@@ -25,10 +25,11 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
 BUCKETS = 1 << 20
 
 
-def possible(df: DataFrame, keys: DataFrame, key: list[str], buckets: int = BUCKETS) -> DataFrame:
+def possible(df: DataFrame, keys: DataFrame, key: list[str], buckets: int = BUCKETS, others: bool = False) -> DataFrame:
     """The rows whose key may be one of ``keys``, and some others: those whose hash falls into a bucket of one of them.
+    others: the rows that are surely none instead.
 
     For use before the shuffle of an exact step, which then moves few rows where the keys are few."""
     bucket = F.pmod(F.xxhash64(*key), F.lit(buckets)).alias("_bucket")
     hit = keys.select(bucket).distinct()
-    return df.select("*", bucket).join(F.broadcast(hit), "_bucket", "left_semi").drop("_bucket")
+    return df.select("*", bucket).join(F.broadcast(hit), "_bucket", "left_anti" if others else "left_semi").drop("_bucket")

@@ -28,10 +28,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from lakeforge.functions.joins import null_safe_join
+from lakeforge.functions.joins import null_safe_join, possible
 from lakeforge.session import cut, shared_folder
 from lakeforge.sources.files import exists
 
+#: Rows of a unit (of all its files) from which it is folded before its rows are shuffled to their file.
+CROWDED_ROWS = 1 << 17
 #: Names of the columns that say where a row goes; input columns must not bear them.
 BLOCK, PERIOD, FILE, TX = "_block", "_period", "_file", "_tx"
 
@@ -134,7 +136,12 @@ def carry_out(rows: DataFrame, files: DataFrame, session: list[str], key: list[s
         own = file_of(placed)
         if again:
             own = own.join(todo.select(PERIOD, FILE), [PERIOD, FILE], "left_semi")
-        newest = merged_rows(own.select(PERIOD, FILE, *rows.columns), [PERIOD, FILE, *session], key).repartition(PERIOD, FILE).join(todo, [PERIOD, FILE])
+        # rows move once, to their file.  Units of so many rows that they must hold repeats are folded before that, and with
+        # them the rows that share their hash buckets
+        crowded = parts.groupBy(*unit).agg(F.sum("n_rows").alias("n")).where(F.col("n") > CROWDED_ROWS)
+        folded = merged_rows(possible(own, crowded, unit).select(PERIOD, FILE, *rows.columns), [PERIOD, FILE, *session], key)
+        direct = possible(own, crowded, unit, others=True).select(*folded.columns)
+        newest = merged_rows(direct.unionByName(folded).repartition(PERIOD, FILE), [PERIOD, FILE, *session], key).join(todo, [PERIOD, FILE])
         _replace(newest.select(TX, *rows.columns).sortWithinPartitions(TX, *session, *key), stored)
         of = file_of(plan).join(todo, [PERIOD, FILE]).select(TX, *plan.columns)
         _replace(of.repartition(TX), journal)

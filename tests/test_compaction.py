@@ -137,3 +137,13 @@ def test_runs_are_written_and_finished_ones_stay(spark, tmp_path):
     assert len(parts()) == 3 and first.items() <= parts().items() and more.rows.count() == 9
     shutil.rmtree(f"{store}/finished")  # as if interrupted before the names were noted
     assert run(ticks).rows.count() == 8 and len(parts()) == 3
+
+
+def test_crowded_units_are_folded_first(spark, monkeypatch):
+    import lakeforge.operators.compaction as M
+
+    ticks = [("A.SH", DAY, 7, 1.0, at(i % 60), i % 3) for i in range(300)] + [("B.SH", DAY, s, 1.0, at(1), 0) for s in range(5)]
+    plain = rows(compact(spark.createDataFrame(ticks, TICKS), files(spark, 3), UNIT, KEY)[2])
+    monkeypatch.setattr(M, "CROWDED_ROWS", 50)
+    units, _, newest = compact(spark.createDataFrame(ticks, TICKS), files(spark, 3), UNIT, KEY)
+    assert rows(newest) == plain and sorted((r.symbol, r.rows_after) for r in units.toLocalIterator()) == [("A.SH", 1), ("B.SH", 5)]
