@@ -61,3 +61,21 @@ def factor_of(value: Column | str, adjust_type: Column | str) -> Column:
 def tone(probability: Column | str) -> Column:
     """A probability of good news as a score from -1 to 1."""
     return 2 * (F.col(probability) if isinstance(probability, str) else probability) - 1
+
+
+#: Code prefixes of the two smaller groups of exchanges; other codes are SZ's.
+SH_PREFIXES, BJ_PREFIXES = ("60", "68"), ("92", "43", "83", "87")
+
+
+def symbol_of(code: Column | str) -> Column:
+    """``CODE.EX`` of a bare code: six digits, zeros in front, and the exchange its prefix says."""
+    c = F.lpad(F.trim(F.col(code).cast("string") if isinstance(code, str) else code.cast("string")), 6, "0")
+    ex = F.when(F.substring(c, 1, 2).isin(*SH_PREFIXES), "SH").when(F.substring(c, 1, 2).isin(*BJ_PREFIXES), "BJ").otherwise("SZ")
+    return F.concat_ws(".", c, ex)
+
+
+def price_divisor(symbol: Column | str) -> Column:
+    """What a wire's integer price is divided by: 100 for stocks, 1,000 for funds, 10,000 for bonds; null for what is unknown."""
+    s = F.col(symbol) if isinstance(symbol, str) else symbol
+    head = F.substring(s, 1, 2)
+    return F.when(head.isin("51", "52", "56", "58", "15", "16"), 1000).when(head.isin("10", "11", "12", "13"), 10_000).when(head.isin("60", "68", "00", "30", *BJ_PREFIXES), 100)

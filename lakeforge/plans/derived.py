@@ -13,7 +13,7 @@ from lakeforge.operators import readpath as R
 from lakeforge.operators import returns as S
 from lakeforge.operators.asof import forward_fill
 from lakeforge.plans.problems import table
-from lakeforge.plans.read_path import bars, calendar, factor_steps, factors, instruments, status
+from lakeforge.plans.read_path import _ALL_A, TEST_PREFIXES, bars, calendar, factor_steps, factors, instruments, status
 from lakeforge.plans.sqlparts import BARS, CALENDAR, FACTORS, INSTRUMENTS, MEMBERS, STATUS, STEPS, TICKS, with_parts
 
 
@@ -34,7 +34,8 @@ def factor_continuity(spark: SparkSession, d: str) -> DataFrame:
 
 
 def uncovered_symbols(spark: SparkSession, d: str) -> DataFrame:
-    b = bars(spark, d).groupBy("symbol").agg(F.min("trade_date").alias("bar_date"))
+    """Common stocks (no receipts, no funds) whose factors are missing or begin after their bars."""
+    b = bars(spark, d).where(R.in_stock_universe("symbol", TEST_PREFIXES)).groupBy("symbol").agg(F.min("trade_date").alias("bar_date"))
     f = factors(spark, d).groupBy("symbol").agg(F.min("trade_date").alias("factor_date"))
     return b.join(f, "symbol", "left").where("factor_date is null or factor_date > bar_date")
 
@@ -200,7 +201,7 @@ _DIVERGENCES = f"""select symbol, trade_date, prev_trade_date, raw_ret, adj_ret,
   select symbol, trade_date, close, factor, lag(trade_date) over w as prev_trade_date, lag(close) over w as prev_close, lag(factor) over w as prev_factor from usable
   join (select symbol, trade_date, factor from ({FACTORS}) where adjust_type = 'hfq' and factor > 0) f using (symbol, trade_date) window w as (partition by symbol order by trade_date)) left join pairs using (trade_date)) where adj_ret is not null"""
 _EXPLAINED = "select v.*, s.trade_date as step_date, coalesce(s.trade_date > v.prev_trade_date and s.trade_date <= v.trade_date, false) as explained from (select * from divergences where divergence > 0.005) v asof left join steps s on v.symbol = s.symbol and v.trade_date >= s.trade_date"
-_UNCOVERED = f"select * from (select symbol, min(trade_date) as bar_date from daily_bars group by 1) left join (select symbol, min(trade_date) as factor_date from adj_factors group by 1) using (symbol) where factor_date is null or factor_date > bar_date"
+_UNCOVERED = f"select * from (select symbol, min(trade_date) as bar_date from daily_bars where {_ALL_A} group by 1) left join (select symbol, min(trade_date) as factor_date from adj_factors group by 1) using (symbol) where factor_date is null or factor_date > bar_date"
 _MONTHS = f"select cast(date_trunc('month', trade_date) as date) as month_date, max(trade_date) as last_date from ({CALENDAR}) group by 1"
 _SW = "select symbol, as_of_date as start_date, max(industry_code) as industry_code from industry_members where classification_system = 'sw' group by 1, 2"
 

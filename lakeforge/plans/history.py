@@ -9,20 +9,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeforge.functions.columns import canonical_symbol, factor_of, local_date, session_final
+from lakeforge.functions.columns import canonical_symbol, factor_of, local_date, price_divisor, session_final, symbol_of
 from lakeforge.functions.register import register
 from lakeforge.lake import PERIOD, Lake, period_label
 from lakeforge.operators import backfill as B
 from lakeforge.operators import readpath as R
 from lakeforge.operators.returns import minute_bars
+from lakeforge.operators.storage import keyword_balance
 from lakeforge.plans.derived import _DIVERGENCES, _EXPLAINED, _INDEX, _MEMBERS_ON, _PAIRS, _RETURNS, _USABLE, _index, recon_missing_event, ticks
 from lakeforge.plans.problems import table
 from lakeforge.plans.quality import delisted_coverage
 from lakeforge.plans.read_path import _ALL_A, _BAD, _LISTED, TEST_PREFIXES, bars, calendar, instruments
-from lakeforge.plans.sqlparts import BARS, CALENDAR, INSTRUMENTS, STEPS, TICKS, with_parts
+from lakeforge.plans.read_path import factors as table_factors
+from lakeforge.plans.sqlparts import BARS, CALENDAR, FACTORS, INSTRUMENTS, STEPS, TICKS, with_parts
+from lakeforge.plans.storage import NEGATIVE, POSITIVE
+from lakeforge.quality import checks as Q
 from lakeforge.quality import recon as C
 from lakeforge.session import shared_folder
 from lakeforge.sources import files
+from lakeforge.stats import Stats
 
 WINDOW = ("2019-01-01", "2021-12-31")
 
@@ -187,11 +192,64 @@ def history_validity(spark: SparkSession, d: str) -> DataFrame:
     return C.validity(R.traded(bars(spark, d)), calendar(spark, d), receipts, s, delisted_coverage(spark, d), *WINDOW)
 
 
+def sentiment_channels(spark: SparkSession, d: str) -> DataFrame:
+    """Mean score and count of texts of each symbol and day in three channels: headlines, flashes, everything else."""
+    score = keyword_balance(F.coalesce("text", F.lit("")), POSITIVE, NEGATIVE)
+    channel = F.when(F.col("source") == "news_headlines", "news").when(F.col("source") == "flash_news_wire", "flash").otherwise("other")
+    docs = table(spark, d, "documents").where("symbol is not null and publish_date is not null").withColumn("score", score)
+    return docs.groupBy("symbol", "publish_date", channel.alias("channel")).agg(F.round(F.avg("score"), 8).alias("score"), F.count(F.lit(1)).alias("n"))
+
+
+def scalar_stats(spark: SparkSession, d: str) -> DataFrame:
+    return Q.scalar_stats(table(spark, d, "daily_bars"), ["symbol", "trade_date", "open", "close", "volume", "amount"])
+
+
+def finding_samples(spark: SparkSession, d: str) -> DataFrame:
+    holes = Q.missing_sessions(table(spark, d, "trade_ticks"), calendar(spark, d))
+    return Q.sampled(holes.withColumn("year", F.year("trade_date")), "year", "trade_date")
+
+
+def authority_values(spark: SparkSession, d: str) -> DataFrame:
+    """Closes of the mirror's most trusted source as the reference for the lake's own."""
+    mirror = R.canonical(table(spark, d, "daily_bars_mirror").withColumn("symbol", canonical_symbol("symbol")), ["symbol", "trade_date"])
+    best = table(spark, d, "source_trust").orderBy("trust_rank", "source").first().source
+    reference = mirror.where((F.col("source") == best) & F.col("close").isNotNull())
+    return Q.authority_differences(bars(spark, d), reference, ["symbol", "trade_date"], "close", 0.001).withColumns({"reference": F.round("reference", 6), "value": F.round("value", 6)})
+
+
+def industry_groups_absent(spark: SparkSession, d: str) -> DataFrame:
+    """Groups that members say should be there and no return is."""
+    i = _index(spark, d).where("weighting = 'equal'")
+    expected = i.select("trade_date", "level", "industry_code")
+    return expected.join(i.where("n_priced > 0").select("trade_date", "level", "industry_code"), ["trade_date", "level", "industry_code"], "left_anti")
+
+
+def return_summary(spark: SparkSession, d: str) -> DataFrame:
+    """First to last close of each symbol, raw and adjusted; without a factor on either day there is no adjusted return."""
+    b = R.traded(bars(spark, d)).where("close > 0")
+    f = table_factors(spark, d).where("adjust_type = 'hfq'").select("symbol", "trade_date", "factor")
+    both = b.join(f, ["symbol", "trade_date"], "left")
+    ends = both.groupBy("symbol").agg(F.min_by(F.struct("close", "factor"), "trade_date").alias("a"), F.max_by(F.struct("close", "factor"), "trade_date").alias("z"))
+    return ends.select("symbol", F.round(F.col("z.close") / F.col("a.close") - 1, 8).alias("raw_return"), F.round(F.try_divide(F.col("z.close") * F.col("z.factor"), F.col("a.close") * F.col("a.factor")) - 1, 8).alias("adjusted_return"))
+
+
+def stored_stats(spark: SparkSession, d: str) -> DataFrame:
+    """Statistics of the lake's statuses, stored, read back and joined with the sources of each period."""
+    stats = Stats(lake_of(spark, d))
+    stats.rebuild(["trading_status"])
+    return stats.provenance_of_periods("trading_status").select("partition", "source", "data_version", "n_rows", "period_rows", F.round("share", 8).alias("share"))
+
+
+def inferred_symbols(spark: SparkSession, d: str) -> DataFrame:
+    code = F.substring("symbol", 1, 6).cast("int")
+    return table(spark, d, "daily_bars").select("symbol").distinct().select("symbol", symbol_of(code).alias("inferred"), price_divisor("symbol").alias("divisor"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     fs = (
         scan_range, scan_symbols, scan_pruned_empty, tradable_on_date, repartition_labels, coverage_bounds, days_to_backfill, symbols_to_backfill, bar_ownership, repaired_instruments, index_constituents_latest,
         complete_snapshots, dates_replaced, period_rows, factor_normalised, sessions_final, sql_functions, recon_unexplained, st_by_name, calendar_horizon, industry_index_checks, intraday_daily_bands, misdated_ticks,
-        sampled_differences, history_validity,
+        sampled_differences, history_validity, sentiment_channels, scalar_stats, finding_samples, authority_values, industry_groups_absent, return_summary, stored_stats, inferred_symbols,
     )
     return {f.__name__: f for f in fs}
 
@@ -202,6 +260,10 @@ _MIRROR = BARS.replace("from daily_bars", f"from (select * replace ({_SYMBOL} as
 _GAP = "case when (p.{f} is null) <> (b.{f} is null) then 'field_null_mismatch' when (case when b.{f} = 0 then case when p.{f} <> 0 then 1e308 else 0 end else abs(p.{f} - b.{f}) / abs(b.{f}) * 1e4 end) > 10 then 'field_drift' end"
 
 
+def _words(weights: dict[str, float]) -> str:
+    return " + ".join(f"case when contains(t, '{k}') then {x} else 0.0 end" for k, x in weights.items())
+
+
 def oracle_sql() -> dict[str, str]:
     base = {"usable": _USABLE, "pairs": _PAIRS}
     local = "(fetched_at at time zone 'Asia/Shanghai')"
@@ -265,4 +327,24 @@ def oracle_sql() -> dict[str, str]:
   union all select 'delisted_universe', count(*) = 0, count(*) from d where state <> 'verified'""",
             t=f"select * from ({BARS}) where volume > 0 or volume is null", d=quality.oracle_sql()["delisted_coverage"],
         ).replace("check_", '"check"'),
+        "sentiment_channels": f"select symbol, publish_date, channel, round(avg(coalesce((p - n) / nullif(p + n, 0), 0)), 8) as score, count(*) as n from (select symbol, publish_date, case source when 'news_headlines' then 'news' when 'flash_news_wire' then 'flash' else 'other' end as channel, cast({_words(POSITIVE)} as double) as p, cast({_words(NEGATIVE)} as double) as n from (select *, coalesce(text, '') as t from documents where symbol is not null and publish_date is not null)) group by 1, 2, 3",
+        "scalar_stats": "select count(*) as n, count(*) filter (source = 'mock') as mock, " + ", ".join(f"count(*) filter ({c} is null) as nulls_{c}" for c in ("symbol", "trade_date", "open", "close", "volume", "amount")) + " from daily_bars",
+        "finding_samples": with_parts(
+            "select cast(year as int) as year, count(*) as n, string_agg(cast(trade_date as varchar), ',' order by trade_date) filter (a <= 5) as first, string_agg(cast(trade_date as varchar), ',' order by trade_date) filter (z <= 5) as last from r group by 1",
+            r=f"select trade_date, year(trade_date) as year, row_number() over (partition by year(trade_date) order by trade_date) as a, row_number() over (partition by year(trade_date) order by trade_date desc) as z from ({quality._SPAN.format(cal=CALENDAR, t='trade_ticks')})",
+        ),
+        "authority_values": with_parts(
+            "select symbol, trade_date, round(r.close, 6) as reference, round(b.close, 6) as value, case when b.symbol is null then 'missing' else 'differs' end as kind from r left join b using (symbol, trade_date) where b.symbol is null or b.close is null or abs(b.close - r.close) > 0.001 * greatest(abs(b.close), abs(r.close))",
+            b=BARS, m=_MIRROR, r="select * from m where source = (select source from source_trust order by trust_rank, source limit 1) and close is not null",
+        ),
+        "industry_groups_absent": with_parts("select trade_date, level, industry_code from idx where n_priced = 0", **base, returns=_RETURNS, known=_MEMBERS_ON, idx=_INDEX),
+        "return_summary": with_parts(
+            "select symbol, round(arg_max(close, trade_date) / arg_min(close, trade_date) - 1, 8) as raw_return, round(arg_max(close, trade_date) * arg_max_null(factor, trade_date) / nullif(arg_min(close, trade_date) * arg_min_null(factor, trade_date), 0) - 1, 8) as adjusted_return from b left join f using (symbol, trade_date) group by 1",
+            b=f"select * from ({BARS}) where (volume > 0 or volume is null) and close > 0", f=f"select symbol, trade_date, factor from ({FACTORS}) where adjust_type = 'hfq'",
+        ),
+        "stored_stats": with_parts(
+            "select partition, source, data_version, n_rows, period_rows, round(n_rows / period_rows, 8) as share from (select partition, source, data_version, count(*) as n_rows from s group by 1, 2, 3) join (select partition, count(*) as period_rows from s group by 1) using (partition)",
+            s="select strftime(trade_date, '%Y-%m') as partition, source, data_version from trading_status",
+        ),
+        "inferred_symbols": "select distinct symbol, lpad(cast(cast(substr(symbol, 1, 6) as int) as varchar), 6, '0') || case when substr(symbol, 1, 2) in ('60', '68') then '.SH' when substr(symbol, 1, 2) in ('92', '43', '83', '87') then '.BJ' else '.SZ' end as inferred, case when substr(symbol, 1, 2) in ('51', '52', '56', '58', '15', '16') then 1000 when substr(symbol, 1, 2) in ('10', '11', '12', '13') then 10000 when substr(symbol, 1, 2) in ('60', '68', '00', '30', '92', '43', '83', '87') then 100 end as divisor from daily_bars",
     }

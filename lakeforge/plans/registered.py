@@ -20,14 +20,14 @@ DATE_COLUMNS = {
     "interval_expand_latest": ("as_of_date", "start_date"), "interval_expand_halfopen": ("as_of_date",), "month_end_sessions": ("month_date", "last_date"), "contiguous_watermark": ("last_date",),
     "interior_gaps": ("first_date",), "shallow_history": ("bar_date", "factor_date"), "last_dense_day": ("last_date",), "macro_stale": ("last_date",), "pit_bad_announcements": ("announce_date",),
     "survivorship_status": ("first_date", "last_date"), "retired_unmarked": ("last_date",), "instruments_merge": ("list_date", "delist_date"), "provenance_buckets": ("bucket_date",), "heatmap_cells": ("month_date",),
-    "keyword_sentiment": ("publish_date",), "coverage_bounds": ("first_date", "last_date"), "symbols_to_backfill": ("expected_end", "latest_date"), "repaired_instruments": ("list_date", "delist_date"),
+    "keyword_sentiment": ("publish_date",), "sentiment_channels": ("publish_date",), "coverage_bounds": ("first_date", "last_date"), "symbols_to_backfill": ("expected_end", "latest_date"), "repaired_instruments": ("list_date", "delist_date"),
     "complete_snapshots": ("as_of_date",), "sessions_final": ("local_date",), "sql_functions": ("last_date",), "calendar_horizon": ("last_date", "table_end"),
 }
 DATELESS = (
     "adjust_missing_exact_flag", "universe_strict_missing", "symbol_predicate", "pit_items", "pit_revision_size", "retry_refresh_union", "survivorship_returns", "index_coverage", "minute_daily_recon", "tick_direction",
     "volume_unit_median", "amount_completeness", "required_nulls", "nonfinite", "row_mutation_prorated", "fragmentation", "mixed_granularity", "macro_revised", "source_diff_coverage", "partial_symbols", "placeholder_share",
     "fill_ratio", "compact_merge", "repartition_labels", "tradable_on_date", "bar_ownership", "index_constituents_latest", "dates_replaced", "period_rows", "st_by_name", "industry_index_checks", "intraday_daily_bands",
-    "history_validity", "stats_partitions", "provenance_mix", "sector_code_map", "sector_fuzzy_routing", "action_expand", "related_symbols_explode", "ordered_priority_topn", "resolve_symbol",
+    "history_validity", "scalar_stats", "finding_samples", "return_summary", "stored_stats", "inferred_symbols", "stats_partitions", "provenance_mix", "sector_code_map", "sector_fuzzy_routing", "action_expand", "related_symbols_explode", "ordered_priority_topn", "resolve_symbol",
     "top_liquid", "purge_orphans", "delisted_coverage", "receipt_coverage",
 )
 

@@ -63,3 +63,15 @@ def slices_full(rows: DataFrame, by: list[str], column: str, least: int) -> Data
     """Slices of a snapshot with fewer than ``least`` distinct values were cut short; they are left out."""
     thin = rows.groupBy(*by).agg(F.countDistinct(column).alias("n")).where(F.col("n") < least).select(*by)
     return rows.join(thin, by, "left_anti")
+
+
+def session_over(end: str, now: str, sessions: DataFrame) -> None:
+    """Refuses a window whose last day is the exchange's own today, a session, and not settled yet.  now: an instant in UTC."""
+    from pyspark.sql.types import DateType
+
+    from lakeforge.functions.columns import session_final
+
+    day = F.lit(end).cast(DateType())
+    open_ = sessions.where(F.col("trade_date") == day).where(~session_final(day, F.lit(now).cast("timestamp"))).first()
+    if open_:
+        raise CaptureError(f"the session of {end} is not final at {now}")

@@ -124,6 +124,19 @@ def granularity(label: Column | str) -> Column:
     return F.when(c.rlike(r"^\d{4}-\d{2}-\d{2}$"), "day").when(c.rlike(r"^\d{4}-\d{2}$"), "month").when(c.rlike(r"^\d{4}Q[1-4]$"), "quarter").when(c.rlike(r"^\d{4}$"), "year")
 
 
+def scalar_stats(df: DataFrame, required: list[str]) -> DataFrame:
+    """One row from one scan: rows, rows of mock sources, and nulls of each required column (nulls_<column>)."""
+    return df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("source") == "mock").alias("mock"), *(F.count_if(F.col(c).isNull()).alias("nulls_" + c) for c in required))
+
+
+def sampled(df: DataFrame, by: str, column: str, n: int = 5) -> DataFrame:
+    """by, the number of rows, and the first and last ``n`` distinct values of a column, for a finding's message."""
+    one = df.groupBy(by, column).agg(F.count(F.lit(1)).alias("_n"))
+    ends = [one.withColumn("_r", F.row_number().over(W.partitionBy(by).orderBy(o))).where(F.col("_r") <= n).select(by, column) for o in (F.col(column).asc(), F.col(column).desc())]
+    held = lambda d, name: d.groupBy(by).agg(F.concat_ws(",", F.sort_array(F.collect_list(F.col(column).cast("string")))).alias(name))
+    return one.groupBy(by).agg(F.sum("_n").alias("n")).join(held(ends[0], "first"), by).join(held(ends[1], "last"), by)
+
+
 # --- intraday
 
 
@@ -233,6 +246,13 @@ def spread_sample(df: DataFrame, key: list[str], n: int) -> DataFrame:
     return df.orderBy(F.md5(F.concat_ws("|", *(F.col(k).cast("string") for k in key))), *key).limit(n)
 
 
+def authority_differences(values: DataFrame, reference: DataFrame, key: list[str], value: str, tolerance: float) -> DataFrame:
+    """Keys of a reference (an authority's own figures) that are missing or differ by more than ``tolerance``."""
+    both = reference.select(*key, F.col(value).alias("reference")).join(values.select(*key, F.col(value).alias("value"), F.lit(1).alias("_here")), key, "left")
+    kind = F.when(F.col("_here").isNull(), "missing").when(relative_gap_over(F.col("value"), F.col("reference"), tolerance), "differs")
+    return both.withColumn("kind", kind).where("kind is not null").drop("_here")
+
+
 # --- retired symbols
 
 

@@ -99,3 +99,27 @@ def weekday_calendar(spark: SparkSession, start: date, end: date, known: DataFra
     k = known.groupBy("trade_date").agg(F.max("is_trading").alias("given"))
     out = days.join(F.broadcast(span)).join(k, "trade_date", "left")
     return out.select("trade_date", F.coalesce("given", F.when(F.col("trade_date").between(F.col("lo"), F.col("hi")), F.lit(False)), F.col("weekday")).alias("is_trading"))
+
+
+def session_calendar(spark: SparkSession, start: date, end: date, seed: DataFrame, bars: DataFrame) -> DataFrame:
+    """trade_date, is_trading: the seed's word in its span; outside it a day with bars trades and, in the era of the bars, one
+    without does not; before that weekdays trade.  Days beyond both seed and bars are refused: they would be guesses."""
+    last = seed.select("trade_date").unionByName(bars.select("trade_date")).agg(F.max("trade_date").alias("d")).first().d
+    if last is None or end > last:
+        raise ValueError(f"no calendar is known beyond {last}")
+    known = bars.select("trade_date").where("trade_date is not null").distinct().withColumn("traded", F.lit(True))
+    era = known.agg(F.min("trade_date").alias("lo"), F.max("trade_date").alias("hi"))
+    said = seed.groupBy("trade_date").agg(F.max("is_trading").alias("said"))
+    span = seed.agg(F.min("trade_date").alias("a"), F.max("trade_date").alias("z"))
+    days = spark.sql(f"select explode(sequence(date'{start}', date'{end}')) as trade_date").join(F.broadcast(span)).join(F.broadcast(era)).join(said, "trade_date", "left").join(known, "trade_date", "left")
+    day = F.col("trade_date")
+    told = F.when(day.between(F.col("a"), F.col("z")), F.coalesce("said", F.lit(False))).when(day.between(F.col("lo"), F.col("hi")), F.coalesce("traded", F.lit(False))).otherwise(F.weekday(day) < 5)
+    return days.select("trade_date", told.alias("is_trading"))
+
+
+def sessions_after(calendar: DataFrame, mark: date | None, today: date, look_back: int = 5) -> DataFrame:
+    """The sessions an incremental run has to fetch: after the mark (or of the last days) to today."""
+    from datetime import timedelta
+
+    start = mark + timedelta(days=1) if mark else today - timedelta(days=look_back)
+    return calendar.where("is_trading").where(F.col("trade_date").between(F.lit(start), F.lit(today))).select("trade_date").distinct()

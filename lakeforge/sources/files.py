@@ -87,6 +87,11 @@ def leaf_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(out)
 
 
+def size_of(spark: SparkSession, path: str) -> int:
+    fs, p = _fs(spark, path)
+    return fs.getFileStatus(p).getLen()
+
+
 def _read(fs, p) -> str | None:
     if not fs.exists(p):
         return None
