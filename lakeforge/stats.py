@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeforge import swaps
+from lakeforge.functions.joins import null_safe_join
 from lakeforge.lake import Lake, lock_path, period_label
 from lakeforge.locks import writing
 from lakeforge.operators.storage import partition_stats, provenance_mix
@@ -54,7 +55,7 @@ class Stats:
                 label = F.lit(None).cast("string") if column is None else period_label(column, dataset(name).granularity)
                 sized = about.groupBy("partition").agg(F.count(F.lit(1)).alias("n_files"), F.sum("n_bytes").alias("n_bytes"))
                 rows = rows if "symbol" in rows.columns else rows.withColumn("symbol", F.lit(None).cast("string"))
-                stats = partition_stats(rows, label).join(sized, "partition", "left")
+                stats = null_safe_join(partition_stats(rows, label), sized, ["partition"], "left")
                 self._put("partitions", name, stats.select(F.lit(name).alias("dataset"), "partition", "n_rows", "symbols", "fetched_epoch", F.coalesce("n_files", F.lit(0)).alias("n_files"), F.coalesce("n_bytes", F.lit(0)).alias("n_bytes")))
                 self._put("provenance", name, provenance_mix(rows, label).select(F.lit(name).alias("dataset"), "partition", "source", "data_version", "n_rows", "first_epoch", "last_epoch"))
                 known[name] = self.print_of(name)
