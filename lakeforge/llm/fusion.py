@@ -81,16 +81,16 @@ def estimated_sources(items: DataFrame, rounds: int = 10, close: float = 1e-3, p
     for _ in range(rounds):
         votes = members.join(state, "s").groupBy("pid", "k").agg(F.sum(_vote(false_values)).alias("score"))
         chosen = votes.groupBy("pid").agg(F.max(F.struct(F.round("score", 9).alias("score"), F.col("k").alias("true"))).alias("b")).select("pid", "b.true")
-        chosen = cut(chosen)
         right = members.join(chosen, "pid").withColumn("right", F.col("k") == F.col("true"))
         accuracy = right.groupBy("s").agg(((F.sum(F.when(F.col("right"), F.col("n")).otherwise(0)) + FIRST_ACCURACY) / (F.sum("n") + 1)).alias("a"))
         accuracy = accuracy.select("s", F.least(F.lit(0.99), F.greatest(F.lit(0.05), "a")).alias("accuracy"))
         count = lambda when: F.sum(F.when(when, F.col("n")).otherwise(0))
         true = F.col("k") == F.col("true")
         shared = pairs.join(chosen, "pid").groupBy("s1", "s2").agg(count(F.col("same") & true).alias("kt"), count(F.col("same") & ~true).alias("kf"), F.lit(0).alias("ku"), count(~F.col("same")).alias("kd"))
-        new = cut(_weighted(accuracy, shared, prior_copy, false_values))
-        moved = new.join(state.select("s", F.col("accuracy").alias("old")), "s").agg(F.max(F.abs(F.col("accuracy") - F.col("old"))).alias("d")).first()["d"]
-        state = new
+        old = state.select("s", F.col("accuracy").alias("_old"))
+        new = cut(_weighted(accuracy, shared, prior_copy, false_values).join(old, "s").withColumn("_moved", F.abs(F.col("accuracy") - F.col("_old"))))
+        moved = new.agg(F.max("_moved").alias("d")).first()["d"]
+        state = new.select("s", "accuracy", "weight")
         if moved is None or moved < close:
             break
     return state.withColumnRenamed("s", "source")
