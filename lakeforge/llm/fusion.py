@@ -81,6 +81,7 @@ def estimated_sources(items: DataFrame, rounds: int = 10, close: float = 1e-3, p
     for _ in range(rounds):
         votes = members.join(state, "s").groupBy("pid", "k").agg(F.sum(_vote(false_values)).alias("score"))
         chosen = votes.groupBy("pid").agg(F.max(F.struct(F.round("score", 9).alias("score"), F.col("k").alias("true"))).alias("b")).select("pid", "b.true")
+        chosen = cut(chosen)  # used twice below; planned apart, the driver's memory stays small
         right = members.join(chosen, "pid").withColumn("right", F.col("k") == F.col("true"))
         accuracy = right.groupBy("s").agg(((F.sum(F.when(F.col("right"), F.col("n")).otherwise(0)) + FIRST_ACCURACY) / (F.sum("n") + 1)).alias("a"))
         accuracy = accuracy.select("s", F.least(F.lit(0.99), F.greatest(F.lit(0.05), "a")).alias("accuracy"))
