@@ -9,7 +9,7 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeforge.lake import lock_path
+from lakeforge.lake import Lake, lock_path
 from lakeforge.locks import LockedError as LockedError
 from lakeforge.locks import writing
 from lakeforge.quality.checks import last_contiguous
@@ -115,13 +115,7 @@ class State:
 
 def clean_staging(spark: SparkSession, root: str, keep: set[str]) -> int:
     """Deletes staged runs other than ``keep``."""
-    n = 0
-    for ds in files.entries(spark, f"{root}/staging"):
-        for run in files.entries(spark, ds.path):
-            if run.is_dir and run.name.removeprefix("run_id=") not in keep:
-                files.delete(spark, run.path)
-                n += 1
-    return n
+    return Lake(spark, root).clear_staging(keep)
 
 
 def unfinished_days(sessions: DataFrame, have: DataFrame, least: int, by: str = "symbol") -> DataFrame:
