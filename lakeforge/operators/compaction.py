@@ -141,8 +141,9 @@ def carry_out(rows: DataFrame, files: DataFrame, session: list[str], key: list[s
         crowded = parts.groupBy(*unit).agg(F.sum("n_rows").alias("n")).where(F.col("n") > CROWDED_ROWS)
         folded = merged_rows(possible(own, crowded, unit).select(PERIOD, FILE, *rows.columns), [PERIOD, FILE, *session], key)
         direct = possible(own, crowded, unit, others=True).select(*folded.columns)
-        newest = merged_rows(direct.unionByName(folded).repartition(PERIOD, FILE), [PERIOD, FILE, *session], key).join(todo, [PERIOD, FILE])
-        _replace(newest.select(TX, *rows.columns).sortWithinPartitions(TX, *session, *key), stored)
+        # grouped by the name first, rows leave the aggregation in the order in which they are written
+        named = direct.unionByName(folded).repartition(PERIOD, FILE).join(todo, [PERIOD, FILE])
+        _replace(merged_rows(named, [TX, PERIOD, FILE, *session], key).select(TX, *rows.columns), stored)
         of = file_of(plan).join(todo, [PERIOD, FILE]).select(TX, *plan.columns)
         _replace(of.repartition(TX), journal)
         todo.select(TX).coalesce(1).write.mode("append").parquet(finished)
