@@ -26,7 +26,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from lakeforge.functions.joins import null_safe_join, possible
 from lakeforge.session import cut, shared_folder
@@ -126,12 +126,14 @@ def carry_out(rows: DataFrame, files: DataFrame, session: list[str], key: list[s
     prints = parts.groupBy(*unit, PERIOD).agg(F.bit_xor(F.xxhash64("file_id", "n_rows", "print")).alias("print"))
     lines = file_of(null_safe_join(runs.select(*unit, PERIOD, "run_id"), prints, [*unit, PERIOD])).withColumn("_line", F.xxhash64(*unit, "run_id", "print"))
     named = lines.groupBy(PERIOD, FILE, "_files").agg(F.count(F.lit(1)).alias("n"), F.bit_xor("_line").alias("x"), F.sum(F.shiftrightunsigned("_line", 24)).alias("s"))
-    name = F.concat_ws(".", PERIOD, "_files", FILE, F.substring(F.sha2(F.concat_ws(",", "n", "x", "s"), 256), 1, 24))
+    name = F.shiftrightunsigned(F.xxhash64(PERIOD, "_files", FILE, "n", "x", "s"), 1)  # a number: rows are sorted by it quickly
     planned = cut(named.select(PERIOD, FILE, name.alias(TX)))  # one row a packed file
+    if not planned.groupBy(TX).count().where("count > 1").isEmpty():
+        raise RuntimeError("two packed files have one name")
 
     finished, stored, journal = f"{store}/finished", f"{store}/data", f"{store}/journal"
     again = exists(spark, finished)
-    todo = cut(planned.join(spark.read.schema(f"{TX} string").parquet(finished), TX, "left_anti")) if again else planned
+    todo = cut(planned.join(spark.read.schema(f"{TX} bigint").parquet(finished), TX, "left_anti")) if again else planned
     if not again or not todo.isEmpty():
         own = file_of(placed)
         if again:
@@ -141,18 +143,18 @@ def carry_out(rows: DataFrame, files: DataFrame, session: list[str], key: list[s
         crowded = parts.groupBy(*unit).agg(F.sum("n_rows").alias("n")).where(F.col("n") > CROWDED_ROWS)
         folded = merged_rows(possible(own, crowded, unit).select(PERIOD, FILE, *rows.columns), [PERIOD, FILE, *session], key)
         direct = possible(own, crowded, unit, others=True).select(*folded.columns)
-        # grouped by the name first, rows leave the aggregation in the order in which they are written
         named = direct.unionByName(folded).repartition(PERIOD, FILE).join(todo, [PERIOD, FILE])
-        _replace(merged_rows(named, [TX, PERIOD, FILE, *session], key).select(TX, *rows.columns), stored)
+        # in the order of session and key; writing keeps it inside a file
+        _replace(merged_rows(named, session, [*key, TX, PERIOD, FILE]).select(TX, *rows.columns), stored)
         of = file_of(plan).join(todo, [PERIOD, FILE]).select(TX, *plan.columns)
         _replace(of.repartition(TX), journal)
         todo.select(TX).coalesce(1).write.mode("append").parquet(finished)
 
     mine = planned.select(TX)
-    data = spark.read.schema(StructType([*rows.schema, StructField(TX, StringType())])).parquet(stored).join(mine, TX, "left_semi")
+    data = spark.read.schema(StructType([*rows.schema, StructField(TX, LongType())])).parquet(stored).join(mine, TX, "left_semi")
     before = parts.groupBy(*session).agg(F.countDistinct("file_id").alias("files_before"), F.countDistinct(F.nullif("label", F.lit(""))).alias("partitions_before"), F.sum("n_rows").alias("rows_before"))
     after = data.groupBy(*session).agg(F.count(F.lit(1)).alias("rows_after"))
-    told = spark.read.schema(StructType([*plan.schema, StructField(TX, StringType())])).parquet(journal).join(mine, TX, "left_semi").select(*plan.columns)
+    told = spark.read.schema(StructType([*plan.schema, StructField(TX, LongType())])).parquet(journal).join(mine, TX, "left_semi").select(*plan.columns)
     was = parts.groupBy(PERIOD).agg(F.countDistinct("file_id").alias("files_before"), F.count_distinct(*(F.struct(F.col(c)) for c in session)).alias("sessions"), F.sum("n_rows").alias("rows_before"), F.sum("n_bytes").alias("bytes_before"))
     now = data.groupBy(TX).agg(F.count(F.lit(1)).alias("n")).join(planned, TX).groupBy(PERIOD).agg(F.count(F.lit(1)).alias("files_after"), F.sum("n").alias("rows_after"))
     return Compacted(null_safe_join(before, after, session), told, data.select(*rows.columns), was.join(now, PERIOD).withColumnRenamed(PERIOD, "period"))

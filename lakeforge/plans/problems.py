@@ -18,6 +18,8 @@ from lakeforge.operators.spikes import implausible
 from lakeforge.registry import dataset
 from lakeforge.session import cut, shared_folder
 
+#: Layout of the stores below; another one is kept apart.
+LAYOUT = 2
 PRICES = ["open", "high", "low", "close", "volume", "amount"]
 
 
@@ -27,7 +29,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def _p1(spark: SparkSession, folder: str) -> Compacted:
     """The folder's ticks compacted by month; what an earlier query of the same folder has finished is not done again."""
-    store = f"{shared_folder(spark)}/compacted-{hashlib.sha256(folder.encode()).hexdigest()[:16]}"
+    store = f"{shared_folder(spark)}/compacted-{LAYOUT}-{hashlib.sha256(folder.encode()).hexdigest()[:16]}"
     month, block = F.date_format("trade_date", "yyyy-MM"), F.shiftright("tick_seq", 14)
     return carry_out(table(spark, folder, "trade_ticks"), table(spark, folder, "lake_files"), ["symbol", "trade_date"], ["tick_seq"], store, month, block=block)
 
