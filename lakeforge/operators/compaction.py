@@ -144,7 +144,7 @@ def carry_out(rows: DataFrame, files: DataFrame, session: list[str], key: list[s
         folded = merged_rows(possible(own, crowded, unit).select(PERIOD, FILE, *rows.columns), [PERIOD, FILE, *session], key)
         direct = possible(own, crowded, unit, others=True).select(*folded.columns)
         named = direct.unionByName(folded).repartition(PERIOD, FILE).join(todo, [PERIOD, FILE])
-        # in the order of session and key; writing keeps it inside a file
+        # folded in the order of session and key; the files are then told apart by a sort on the number alone
         _replace(merged_rows(named, session, [*key, TX, PERIOD, FILE]).select(TX, *rows.columns), stored)
         of = file_of(plan).join(todo, [PERIOD, FILE]).select(TX, *plan.columns)
         _replace(of.repartition(TX), journal)
